@@ -106,11 +106,15 @@ def schema_of(table: str) -> T.StructType:
     return T.StructType(keys + T.StructType.fromDDL(TABLE_COLUMNS[table]).fields)
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, money_scale: int | None = None) -> DataFrame:
     """Select, order and cast the columns of ``df`` to the contract of ``table``.
 
     Spark cannot promise NOT NULL for a computed column, so key nullability is left to the
-    quality checks. Column metadata set upstream (the money scale) is kept.
+    quality checks. ``money_scale`` records the decimal places of exactly summed spend columns
+    in their metadata, which parquet keeps, so later sums of them can stay exact.
     """
-    fields = schema_of(table).fields
-    return df.to(T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]))
+    fields = []
+    for f in schema_of(table).fields:
+        money = money_scale is not None and isinstance(f.dataType, T.DoubleType)
+        fields.append(T.StructField(f.name, f.dataType, True, {"money_scale": money_scale} if money else None))
+    return df.to(T.StructType(fields))

@@ -13,6 +13,18 @@ from tidemark.contracts import ENTITY, EVENT_DATE, OBSERVED
 from tidemark.sources.tables import inline_dates
 
 
+def by_entity(df: DataFrame) -> DataFrame:
+    """Shuffle rows by account into a fixed number of partitions.
+
+    The number is ``spark.sql.shuffle.partitions`` (or ``spark.tidemark.grid.partitions``). It is
+    fixed on purpose: adaptive execution would merge partitions by the size of the account rows,
+    not knowing that each of them is about to become one row per date.
+    """
+    conf = df.sparkSession.conf
+    n = conf.get("spark.tidemark.grid.partitions", None) or conf.get("spark.sql.shuffle.partitions")
+    return df.repartition(int(n), ENTITY)
+
+
 def date_spine(log: DataFrame, column: str = EVENT_DATE) -> DataFrame:
     """The distinct dates of a log. Partial aggregation leaves one row per task and date."""
     return log.select(F.col(column).alias(OBSERVED)).distinct()
@@ -57,7 +69,7 @@ def observation_grid(
     wanted = list(dict.fromkeys([ENTITY, "created_at", *([until] if until else []), *keep]))
     rows = accounts.select(*wanted)
     if colocate:
-        rows = rows.repartition(ENTITY)
+        rows = by_entity(rows)
     return rows.join(F.broadcast(spine), alive).select(ENTITY, date, *keep)
 
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import ENTITY, EVENT_DATE, KEYS, OBSERVED
+from tidemark.operators.grid import by_entity
 
 
 @dataclass(frozen=True)
@@ -60,12 +61,12 @@ def reach(rollings: Sequence[Rolling]) -> tuple[int | None, int]:
     return (None if None in firsts else min(firsts)), max(r.span.last for r in rollings)
 
 
-def daily_partials(log: DataFrame, measures: Mapping[str, Column], date: str = EVENT_DATE) -> DataFrame:
-    """One row per account and date with the given aggregates."""
+def daily_partials(log: DataFrame, measures: Mapping[str, str], date: str = EVENT_DATE) -> DataFrame:
+    """One row per account and date with the given aggregates, written as SQL text."""
     return (
         log.where(F.col(ENTITY).isNotNull() & F.col(date).isNotNull())
         .groupBy(ENTITY, F.col(date).alias(EVENT_DATE))
-        .agg(*[agg.alias(name) for name, agg in measures.items()])
+        .agg(*[F.expr(f"{agg} AS {name}") for name, agg in measures.items()])
     )
 
 
@@ -85,75 +86,68 @@ def _is_exact(kind: T.DataType) -> bool:
     return isinstance(kind, (T.IntegralType, T.DecimalType))
 
 
-def _zero(kind: T.DataType) -> Column:
-    return F.lit(0.0) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.lit(0).cast(kind)
+def _zero(kind: T.DataType) -> str:
+    return "0D" if isinstance(kind, (T.DoubleType, T.FloatType)) else "0L"
+
+
+def _offset(days: int) -> str:
+    """A day offset in the words of a window frame."""
+    if days == 0:
+        return "CURRENT ROW"
+    return f"{abs(days)} {'FOLLOWING' if days > 0 else 'PRECEDING'}"
 
 
 def _frame(grid: DataFrame, daily: DataFrame, rollings: list[Rolling]) -> DataFrame:
+    # Window columns are written as SQL text: there can be dozens, and text reaches the JVM in
+    # one call instead of several calls per column.
     kinds = {f.name: f.dataType for f in daily.schema.fields}
     extras = [c for c in grid.columns if c not in KEYS]
     points = grid.withColumnsRenamed({OBSERVED: "_day"}).withColumn("_grid", F.lit(True))
-    marks = (
-        daily.withColumnsRenamed({EVENT_DATE: "_day"})
-        .withColumn("_grid", F.lit(False))
-        .repartition(ENTITY)
-    )
+    marks = by_entity(daily.withColumnsRenamed({EVENT_DATE: "_day"}).withColumn("_grid", F.lit(False)))
     rows = points.unionByName(marks, allowMissingColumns=True)
-    by_day = Window.partitionBy(ENTITY).orderBy(F.unix_date("_day"))
 
-    running: dict[tuple[str, str, int], str] = {}
-    windows: dict[str, Column] = {}
+    windows: dict[str, str] = {}
 
-    def up_to(measure: str, how: str, last: int) -> Column:
-        """Running aggregate of all history through ``last`` days from here.
+    def over(measure: str, how: str, first: int | None, last: int) -> str:
+        frame = f"{'UNBOUNDED PRECEDING' if first is None else _offset(first)} AND {_offset(last)}"
+        text = (
+            f"{how}({measure}) OVER (PARTITION BY {ENTITY} ORDER BY unix_date(_day) RANGE BETWEEN {frame})"
+        )
+        return windows.setdefault(text, f"_w{len(windows)}")
 
-        Such a frame only ever grows, so Spark adds each row to it once. A frame with a moving
-        lower bound is recomputed from scratch for every row.
-        """
-        key = (measure, how, last)
-        if key not in running:
-            running[key] = f"_w{len(running)}"
-            frame = by_day.rangeBetween(Window.unboundedPreceding, last)
-            windows[running[key]] = getattr(F, how)(measure).over(frame)
-        return F.col(running[key])
-
-    results: dict[str, Column] = {}
+    results: list[str] = []
     for r in rollings:
-        kind = kinds[r.measure]
-        if r.span.first is None:
-            value = up_to(r.measure, r.how, r.span.last)
-            results[r.name] = value if r.how == "max" else F.coalesce(value, _zero(kind))
-        elif r.how == "sum" and _is_exact(kind):
-            # Exact arithmetic: a bounded window is the difference of two running sums.
-            upper = F.coalesce(up_to(r.measure, "sum", r.span.last), _zero(kind))
-            lower = F.coalesce(up_to(r.measure, "sum", r.span.first - 1), _zero(kind))
-            results[r.name] = upper - lower
+        kind, span = kinds[r.measure], r.span
+        zero = _zero(kind)
+        if r.how == "sum" and span.first is not None and _is_exact(kind):
+            # A frame that starts at the beginning only ever grows, so Spark adds each row to it
+            # once, while a frame with a moving start is recomputed for every row. In exact
+            # arithmetic a bounded window is the difference of two growing ones.
+            upper = over(r.measure, "sum", None, span.last)
+            lower = over(r.measure, "sum", None, span.first - 1)
+            value = f"coalesce({upper}, {zero}) - coalesce({lower}, {zero})"
         else:
             # Floating point sums would lose digits in a difference, and a maximum has none.
-            windows[f"_s_{r.name}"] = getattr(F, r.how)(r.measure).over(
-                by_day.rangeBetween(r.span.first, r.span.last)
-            )
-            value = F.col(f"_s_{r.name}")
-            results[r.name] = value if r.how == "max" else F.coalesce(value, _zero(kind))
-
-    seen = rows.select(ENTITY, "_day", "_grid", *extras, *[c.alias(n) for n, c in windows.items()])
-    return seen.where("_grid").select(
-        ENTITY,
-        F.col("_day").alias(OBSERVED),
-        *extras,
-        *[c.alias(n) for n, c in results.items()],
-    )
+            value = over(r.measure, r.how, span.first, span.last)
+            if r.how == "sum":
+                value = f"coalesce({value}, {zero})"
+        results.append(f"{value} AS {r.name}")
+
+    seen = rows.selectExpr(ENTITY, "_day", "_grid", *extras, *[f"{w} AS {n}" for w, n in windows.items()])
+    return seen.where("_grid").selectExpr(ENTITY, f"_day AS {OBSERVED}", *extras, *results)
 
 
-def _aggregates(rollings: list[Rolling], offset: Column, kinds: dict[str, T.DataType]) -> list[Column]:
+def _aggregates(rollings: list[Rolling], offset: str, kinds: dict[str, T.DataType]) -> list[Column]:
     """Conditional aggregates over rows carrying the event's day ``offset`` from the observation."""
     out = []
     for r in rollings:
-        inside = offset <= r.span.last
+        inside = f"{offset} <= {r.span.last}"
         if r.span.first is not None:
-            inside &= offset >= r.span.first
-        value = getattr(F, r.how)(F.when(inside, F.col(r.measure)))
-        out.append((value if r.how == "max" else F.coalesce(value, _zero(kinds[r.measure]))).alias(r.name))
+            inside += f" AND {offset} >= {r.span.first}"
+        value = f"{r.how}(CASE WHEN {inside} THEN {r.measure} END)"
+        if r.how == "sum":
+            value = f"coalesce({value}, {_zero(kinds[r.measure])})"
+        out.append(F.expr(f"{value} AS {r.name}"))
     return out
 
 
@@ -164,7 +158,7 @@ def _join(grid: DataFrame, daily: DataFrame, rollings: list[Rolling]) -> DataFra
     on = (F.col(ENTITY) == F.col("_entity")) & (F.col(EVENT_DATE) <= F.date_add(OBSERVED, ahead))
     if back is not None:
         on &= F.col(EVENT_DATE) >= F.date_add(OBSERVED, back)
-    offset = F.datediff(EVENT_DATE, OBSERVED)
+    offset = f"datediff({EVENT_DATE}, {OBSERVED})"
     return grid.join(events, on, "left").groupBy(*grid.columns).agg(*_aggregates(rollings, offset, kinds))
 
 
@@ -177,10 +171,13 @@ def _spread(grid: DataFrame, daily: DataFrame, rollings: list[Rolling]) -> DataF
         daily.withColumn("_lag", F.explode(F.sequence(F.lit(-ahead), F.lit(-back))))
         .withColumn(OBSERVED, F.date_add(EVENT_DATE, F.col("_lag")))
         .groupBy(*KEYS)
-        .agg(*_aggregates(rollings, -F.col("_lag"), kinds))
+        .agg(*_aggregates(rollings, "-_lag", kinds))
     )
-    fill = {r.name: F.coalesce(F.col(r.name), _zero(kinds[r.measure])) for r in rollings if r.how == "sum"}
-    return grid.join(seen, KEYS, "left").withColumns(fill).select(*grid.columns, *[r.name for r in rollings])
+    filled = [
+        f"coalesce({r.name}, {_zero(kinds[r.measure])}) AS {r.name}" if r.how == "sum" else r.name
+        for r in rollings
+    ]
+    return grid.join(seen, KEYS, "left").selectExpr(*grid.columns, *filled)
 
 
 _FORMS: dict[str, Callable[[DataFrame, DataFrame, list[Rolling]], DataFrame]] = {

@@ -120,7 +120,7 @@ def wide_features(
     columns = dict(account_columns())
     for table in tables:
         columns.update(table.columns(sources[table.log].schema))
-    rows = grid.select(*KEYS, *[c.alias(n) for n, c in columns.items()])
+    rows = grid.selectExpr(*KEYS, *[f"{c} AS {n}" for n, c in columns.items()])
     if PURCHASE in tables:
         rows = rows.withColumns(enriched_columns(rows.schema))
     picked = list(names) + (list(label.columns(sources[label.log].schema)) if label else [])

@@ -22,8 +22,6 @@ from tidemark.contracts import (
     conform,
 )
 from tidemark.functions.columns import (
-    count_of,
-    days_between,
     ratio,
     spender_tier,
     tier_weight,
@@ -49,35 +47,45 @@ class WindowTable:
     """A table computed from one log by date windows.
 
     ``measures`` are daily aggregates of the log, ``rollings`` the windows over them, and
-    ``columns`` the outputs in terms of the rolling columns. All three may look at the log's
-    schema (the type of money decides how it is summed).
+    ``columns`` the outputs in terms of the rolling columns, all as SQL text. Measures and
+    columns may look at the log's schema: the type of money decides how it is summed.
     """
 
     name: str
     log: str
-    measures: Callable[[T.StructType], Mapping[str, Column]]
+    measures: Callable[[T.StructType], Mapping[str, str]]
     rollings: Sequence[Rolling]
-    columns: Callable[[T.StructType], Mapping[str, Column]]
+    columns: Callable[[T.StructType], Mapping[str, str]]
     prepare: Callable[[DataFrame], DataFrame] = lambda log: log
     date: str = EVENT_DATE
 
 
+def _weekly(*measures: str) -> list[Rolling]:
+    """Each measure over the observation date and the seven dates before it."""
+    return [Rolling(m, m, back_to(7)) for m in measures]
+
+
+def _mean(total: str, count: str) -> str:
+    """Average of an integer column as a double, NULL when nothing was counted."""
+    return f"CASE WHEN {count} > 0 THEN CAST({total} AS DOUBLE) / {count} END"
+
+
 # --- battle -----------------------------------------------------------------------------
 
 BATTLE = WindowTable(
     "battle",
     "battle",
     lambda _: {
-        "battle_n": F.count("won"),
-        "battle_won": F.sum("won"),
-        "battle_timed": F.count("duration_seconds"),
-        "battle_seconds": F.sum("duration_seconds"),
+        "battle_n": "count(won)",
+        "battle_won": "sum(won)",
+        "battle_timed": "count(duration_seconds)",
+        "battle_seconds": "sum(duration_seconds)",
     },
-    [Rolling(m, m, back_to(7)) for m in ("battle_n", "battle_won", "battle_timed", "battle_seconds")],
+    _weekly("battle_n", "battle_won", "battle_timed", "battle_seconds"),
     lambda _: {
-        "battles_7d": F.col("battle_n"),
-        "win_rate_7d": ratio(F.col("battle_won").cast("double"), F.col("battle_n")),
-        "avg_duration_7d": ratio(F.col("battle_seconds").cast("double"), F.col("battle_timed")),
+        "battles_7d": "battle_n",
+        "win_rate_7d": _mean("battle_won", "battle_n"),
+        "avg_duration_7d": _mean("battle_seconds", "battle_timed"),
     },
 )
 
@@ -88,44 +96,46 @@ BATTLE = WindowTable(
 def money_scale(kind: T.DataType) -> int | None:
     """Decimal places of an amount column that can be summed exactly in BIGINT minor units.
 
-    NULL for doubles and for decimals too wide for a BIGINT, which are summed in their own type.
+    None for doubles and for decimals too wide for a BIGINT, which are summed in their own type.
     """
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
         return kind.scale
     return 0 if isinstance(kind, T.IntegralType) else None
 
 
-def _purchase_measures(schema: T.StructType) -> dict[str, Column]:
+def _purchase_measures(schema: T.StructType) -> dict[str, str]:
     scale = money_scale(schema["amount_usd"].dataType)
-    amount = F.col("amount_usd")
-    if scale:
-        amount = (amount * F.lit(10**scale)).cast("bigint")
-    measures = {
-        f"spent_{c}": F.sum(F.when(F.col("category") == c, amount)) for c in CATEGORIES
+    amount = f"CAST(amount_usd * {10**scale} AS BIGINT)" if scale else "amount_usd"
+    known = ", ".join(f"'{c}'" for c in CATEGORIES)
+    return {
+        **{f"spent_{c}": f"sum(CASE WHEN category = '{c}' THEN {amount} END)" for c in CATEGORIES},
+        "spent_known": f"sum(CASE WHEN category IN ({known}) THEN {amount} END)",
+        "spent_all": f"sum({amount})",
+        "purchase_n": "count(1)",
     }
-    return {**measures, "spent_all": F.sum(amount), "purchase_n": F.count(F.lit(1))}
 
 
+# The week's spend over the known categories is no column of the purchase table itself; the
+# velocity takes it from here, where it is still exact.
 PURCHASE_ROLLINGS = [
     *[Rolling(f"spend_{c}_{w}d", f"spent_{c}", last_dates(w)) for c in CATEGORIES for w in SPEND_WINDOWS],
     Rolling("purchases_count_7d", "purchase_n", last_dates(7)),
     Rolling("purchases_amount_sum_30d", "spent_all", last_dates(30)),
     Rolling("purchases_amount_sum_90d", "spent_all", last_dates(90)),
+    Rolling("spend_7d_total", "spent_known", last_dates(7)),
 ]
 
 
-def _purchase_columns(schema: T.StructType) -> dict[str, Column]:
+def _purchase_columns(schema: T.StructType) -> dict[str, str]:
     scale = money_scale(schema["amount_usd"].dataType)
-    columns = {}
-    for r in PURCHASE_ROLLINGS:
-        value = F.col(r.name)
-        if r.measure != "purchase_n":
-            value = value.cast("double")
-            if scale is not None:
-                # The scale travels with the column, so later sums of it can stay exact.
-                value = (value / F.lit(float(10**scale))).alias(r.name, metadata={"money_scale": scale})
-        columns[r.name] = value
-    return columns
+
+    def dollars(name: str) -> str:
+        value = f"CAST({name} AS DOUBLE)"
+        return f"{value} / {10**scale}D" if scale else value
+
+    return {
+        r.name: r.name if r.measure == "purchase_n" else dollars(r.name) for r in PURCHASE_ROLLINGS
+    }
 
 
 PURCHASE = WindowTable(
@@ -134,7 +144,7 @@ PURCHASE = WindowTable(
     _purchase_measures,
     PURCHASE_ROLLINGS,
     _purchase_columns,
-    prepare=lambda log: log.where(F.col("purchase_ts").isNotNull()),
+    prepare=lambda log: log.where("purchase_ts IS NOT NULL"),
 )
 
 
@@ -143,16 +153,16 @@ PURCHASE = WindowTable(
 PROGRESSION = WindowTable(
     "progression",
     "progression",
-    lambda _: {"level_ups": F.count("level_up_ts"), "level_top": F.max("new_level")},
+    lambda _: {"level_ups": "count(level_up_ts)", "level_top": "max(new_level)"},
     [
         Rolling("level_ups_7d", "level_ups", last_dates(7)),
         Rolling("level_ups_30d", "level_ups", last_dates(30)),
         Rolling("level_top", "level_top", TO_DATE, "max"),
     ],
     lambda _: {
-        "level_ups_7d": F.col("level_ups_7d"),
-        "level_ups_30d": F.col("level_ups_30d"),
-        "current_level": F.coalesce(F.col("level_top"), F.lit(1)),
+        "level_ups_7d": "level_ups_7d",
+        "level_ups_30d": "level_ups_30d",
+        "current_level": "coalesce(level_top, 1)",
     },
 )
 
@@ -162,9 +172,9 @@ PROGRESSION = WindowTable(
 SOCIAL = WindowTable(
     "social",
     "social",
-    lambda _: {f"social_{kind}": count_of(F.col("event_type") == kind) for kind in SOCIAL_COLUMNS},
-    [Rolling(f"social_{kind}", f"social_{kind}", back_to(7)) for kind in SOCIAL_COLUMNS],
-    lambda _: {column: F.col(f"social_{kind}") for kind, column in SOCIAL_COLUMNS.items()},
+    lambda _: {f"social_{kind}": f"count_if(event_type = '{kind}')" for kind in SOCIAL_COLUMNS},
+    _weekly(*[f"social_{kind}" for kind in SOCIAL_COLUMNS]),
+    lambda _: {column: f"social_{kind}" for kind, column in SOCIAL_COLUMNS.items()},
 )
 
 # The snapshot of one date as a same-date window. It equals the snapshot join as long as the
@@ -172,9 +182,9 @@ SOCIAL = WindowTable(
 MEMBERSHIP = WindowTable(
     "social_enriched",
     "membership",
-    lambda _: {"member_rows": count_of(F.col("is_clan_member"))},
+    lambda _: {"member_rows": "count_if(is_clan_member)"},
     [Rolling("member_rows", "member_rows", SAME_DATE)],
-    lambda _: {"is_clan_member": F.col("member_rows") > 0},
+    lambda _: {"is_clan_member": "member_rows > 0"},
     date="date",
 )
 
@@ -194,20 +204,17 @@ SESSION = WindowTable(
     "session",
     "session",
     lambda _: {
-        "session_n": F.count("duration_s"),
-        "session_seconds": F.sum("duration_s"),
-        "session_ios": count_of(F.col("device") == "ios"),
-        "session_android": count_of(F.col("device") == "android"),
+        "session_n": "count(duration_s)",
+        "session_seconds": "sum(duration_s)",
+        "session_ios": "count_if(device = 'ios')",
+        "session_android": "count_if(device = 'android')",
     },
-    [
-        Rolling(m, m, back_to(7))
-        for m in ("session_n", "session_seconds", "session_ios", "session_android")
-    ],
+    _weekly("session_n", "session_seconds", "session_ios", "session_android"),
     lambda _: {
-        "sessions_7d": F.col("session_n"),
-        "avg_session_seconds_7d": ratio(F.col("session_seconds").cast("double"), F.col("session_n")),
-        "sessions_ios_7d": F.col("session_ios"),
-        "sessions_android_7d": F.col("session_android"),
+        "sessions_7d": "session_n",
+        "avg_session_seconds_7d": _mean("session_seconds", "session_n"),
+        "sessions_ios_7d": "session_ios",
+        "sessions_android_7d": "session_android",
     },
     prepare=parse_sessions,
 )
@@ -219,9 +226,9 @@ LABEL_DAYS = 7
 LABEL = WindowTable(
     "label_login_7d",
     "login",
-    lambda _: {"login_n": F.count("login_ts")},
+    lambda _: {"login_n": "count(login_ts)"},
     [Rolling("login_ahead", "login_n", next_dates(LABEL_DAYS))],
-    lambda _: {"did_login_within_7d": F.col("login_ahead") > 0},
+    lambda _: {"did_login_within_7d": "login_ahead > 0"},
 )
 
 WINDOW_TABLES = {t.name: t for t in (BATTLE, PURCHASE, PROGRESSION, SOCIAL, MEMBERSHIP, SESSION, LABEL)}
@@ -246,23 +253,27 @@ def daily_of(table: WindowTable, sources: Sources, axis: Axis) -> DataFrame:
     return daily_partials(table.prepare(log), table.measures(sources[table.log].schema), table.date)
 
 
-def window_table(table: WindowTable, sources: Sources, axis: Axis, form: str = "frame") -> DataFrame:
-    """Build one window table over the axis. ``form`` is one of the window forms."""
+def rolled(table: WindowTable, sources: Sources, axis: Axis, form: str = "frame") -> DataFrame:
+    """The grid with a table's output columns, including those outside its contract."""
     grid = observation_grid(sources["account"], axis.spine, colocate=True)
-    rolled = attach(grid, daily_of(table, sources, axis), table.rollings, form)
+    rows = attach(grid, daily_of(table, sources, axis), table.rollings, form)
     columns = table.columns(sources[table.log].schema)
-    return conform(rolled.select(*KEYS, *[c.alias(n) for n, c in _plain(columns)]), table.name)
+    return rows.selectExpr(*KEYS, *[f"{c} AS {n}" for n, c in columns.items()])
 
 
-def _plain(columns: Mapping[str, Column]):
-    return [(n, c) for n, c in columns.items()]
+def window_table(table: WindowTable, sources: Sources, axis: Axis, form: str = "frame") -> DataFrame:
+    """Build one window table over the axis. ``form`` is one of the window forms."""
+    rows = rolled(table, sources, axis, form)
+    if table is not PURCHASE:
+        return conform(rows, table.name)
+    return conform(rows, table.name, money_scale(sources[table.log].schema["amount_usd"].dataType))
 
 
-def account_columns() -> dict[str, Column]:
+def account_columns() -> dict[str, str]:
     return {
-        "account_age_days": days_between(F.col(OBSERVED), F.col("created_at")),
-        "country": F.col("country"),
-        "install_source": F.col("install_source"),
+        "account_age_days": f"datediff({OBSERVED}, created_at)",
+        "country": "country",
+        "install_source": "install_source",
     }
 
 
@@ -272,7 +283,7 @@ ACCOUNT_ATTRIBUTES = ("created_at", "country", "install_source")
 def account_features(sources: Sources, axis: Axis) -> DataFrame:
     """Age and attributes. Nothing is shuffled: the grid expansion runs where accounts are read."""
     grid = observation_grid(sources["account"], axis.spine, keep=ACCOUNT_ATTRIBUTES)
-    return conform(grid.select(*KEYS, *[c.alias(n) for n, c in account_columns().items()]), "account")
+    return conform(grid.selectExpr(*KEYS, *[f"{c} AS {n}" for n, c in account_columns().items()]), "account")
 
 
 def clan_features(sources: Sources, axis: Axis) -> DataFrame:
@@ -294,17 +305,23 @@ def tier_columns() -> dict[str, Column]:
 def velocity_columns(schema: T.StructType) -> dict[str, Column]:
     """Seven-date spend over the known categories and its share of the 30-date total.
 
-    With a recorded money scale the five columns are summed as decimals: a sum of doubles can
-    come out one digit above the total and turn a share of 1 into a false range violation.
+    From stored columns with a recorded money scale the five are summed as decimals: a sum of
+    doubles can come out one digit above the total and turn a share of 1 into a false range
+    violation.
     """
+    if "spend_7d_total" in schema.names:
+        return _velocity(F.col("spend_7d_total"))
     weekly = [f"spend_{c}_7d" for c in CATEGORIES]
     scales = {schema[c].metadata.get("money_scale") for c in weekly}
     if None in scales:
         week = total([F.col(c) for c in weekly])
     else:
-        # Cents first: rounding a double to its own scale is exact, the decimal sum is too.
         exact = f"decimal(28,{max(scales)})"
         week = total([F.col(c).cast(exact) for c in weekly]).cast("double")
+    return _velocity(week)
+
+
+def _velocity(week: Column) -> dict[str, Column]:
     return {
         "spend_7d_total": week,
         "spend_velocity_7d_over_30d": ratio(week, F.col("purchases_amount_sum_30d")),
@@ -369,7 +386,7 @@ def build_table(sources: Sources, name: str, axis: Axis | None = None) -> DataFr
     if name == "social_enriched":
         return clan_features(sources, axis)
     if name in DERIVED:
-        return DERIVED[name](window_table(PURCHASE, sources, axis))
+        return DERIVED[name](rolled(PURCHASE, sources, axis))
     return window_table(WINDOW_TABLES[name], sources, axis)
 
 

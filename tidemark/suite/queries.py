@@ -231,23 +231,23 @@ def point_in_time_join(spark, sf_dir):
     """Labels with the battle totals of the latest active day at or before each date."""
     active = daily_partials(
         roles.battle(spark, sf_dir),
-        {"battles": F.count("won"), "wins": F.sum("won"), "long_battles": _nullable_wins()},
+        {
+            "battles": "count(won)",
+            "wins": "sum(won)",
+            # NULL on many active days: the newest row must win even where its value is NULL.
+            "long_battles": "sum(CASE WHEN duration_seconds >= 60 THEN 1 END)",
+        },
     ).withColumnRenamed(EVENT_DATE, OBSERVED)
     labels = build_table(role_sources(spark, sf_dir), "label_login_7d")
     wanted = {"battle": (active, ["battles", "wins", "long_battles"])}
     return point_in_time(labels, wanted, unique_spine=True)
 
 
-def _nullable_wins():
-    # NULL on many active days: the newest row must win even where its value is NULL.
-    return F.sum(F.when(F.col("duration_seconds") >= 60, F.lit(1)))
-
-
 @query("point_in_time_join_repeated_spine")
 def point_in_time_join_repeated_spine(spark, sf_dir):
     """One row per battle, so keys repeat, with the latest spend at most five days old."""
     spend = daily_partials(
-        roles.purchase(spark, sf_dir), {"spent": F.sum("amount_usd").cast("double")}
+        roles.purchase(spark, sf_dir), {"spent": "CAST(sum(amount_usd) AS DOUBLE)"}
     ).withColumnRenamed(EVENT_DATE, OBSERVED)
     battles = roles.battle(spark, sf_dir).select(ENTITY, F.col(EVENT_DATE).alias(OBSERVED), "battle_ts")
     return point_in_time(battles, {"spend": (spend, ["spent"])}, max_age_days=5)
