@@ -63,7 +63,7 @@ def stable_bucket(keys: Sequence[Column], buckets: int) -> Column:
 
 def stable_pick(values: Sequence[str], keys: Sequence[Column]) -> Column:
     """One of ``values``, chosen by the key's bucket."""
-    return F.array(*[F.lit(v) for v in values]).getItem(stable_bucket(keys, len(values)))
+    return F.get(F.array(*[F.lit(v) for v in values]), stable_bucket(keys, len(values)))
 
 
 def stable_class(shares: Mapping[str, int], keys: Sequence[Column]) -> Column:

@@ -61,7 +61,7 @@ def battle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    category = F.array(*[F.lit(c) for c in CATEGORIES]).getItem(_key() % len(CATEGORIES))
+    category = F.get(F.array(*[F.lit(c) for c in CATEGORIES]), _key() % len(CATEGORIES))
     return _log(
         _events(spark, sf_dir),
         "purchase",
@@ -82,7 +82,7 @@ def progression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def social(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.array(F.lit("message"), F.lit("invite"), F.lit("gift"))
-    return _log(_events(spark, sf_dir), "error", "event_ts", kinds.getItem(_key() % 3).alias("event_type"))
+    return _log(_events(spark, sf_dir), "error", "event_ts", F.get(kinds, _key() % 3).alias("event_type"))
 
 
 def session(spark: SparkSession, sf_dir: str) -> DataFrame:
