@@ -96,6 +96,8 @@ def main() -> None:
     seconds["publish_all_tables"] = round(time.perf_counter() - started, 3)
     stored = store.tables()
     seconds["training_set_from_stored"] = measure(lambda: training_set(sources, stored))
+    seconds["training_set_from_stored_dense"] = measure(store.training_set)
+    seconds["prediction_set_from_stored_dense"] = measure(store.prediction_set)
     seconds["prediction_set_from_stored"] = measure(lambda: prediction_set(sources, stored))
     started = time.perf_counter()
     store.refresh({"battle": dates})

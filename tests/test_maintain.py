@@ -161,6 +161,8 @@ def test_datasets_agree(spark, store):
     s = store.sources()
     assert _same(training_set(s, store.tables()), training_set_from_logs(s))
     assert _same(prediction_set(s, store.tables()), prediction_set_from_logs(s))
+    assert _same(store.training_set(), training_set_from_logs(s))
+    assert _same(store.prediction_set(), prediction_set_from_logs(s))
     assert training_set_from_logs(s).count() == build_table(s, "label_login_7d").count()
 
 

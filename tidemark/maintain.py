@@ -6,7 +6,7 @@ import datetime as dt
 import os
 import tempfile
 from bisect import bisect_left
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from uuid import uuid4
 
@@ -20,10 +20,12 @@ from tidemark.contracts import (
     LOG_TIMESTAMP,
     OBSERVED,
     SOURCE_DATE,
+    schema_of,
 )
 from tidemark.operators.grid import Axis, date_spine
 from tidemark.operators.sequence import attach_state, latest_per_key
 from tidemark.operators.windows import reach
+from tidemark.plans.datasets import CHURN_FEATURES, prediction_set, training_set
 from tidemark.plans.features import DERIVED, DERIVED_REACH, WINDOW_TABLES, build_table
 from tidemark.plans.labels import ACTIVE_DAYS, LABEL_DAYS, eligibility_prediction
 from tidemark.sources.tables import (
@@ -216,11 +218,20 @@ class FeatureStore:
         return Sources.from_parquet(self.spark, self.source_root)
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name))
+        return read_table(self.spark, self.path(name), schema_of(name) if name in PUBLISHED else None)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in FEATURE_TABLES}
 
+    def training_set(self, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:
+        """The training set from the stored tables. They share the label's grid, so equi joins do."""
+        labels = self.table("label_login_7d")
+        return training_set(self.sources(), self.tables(), names, labels=labels, dense=True)
+
+    def prediction_set(self, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:
+        """The scoring set from the stored tables, reading one date of each."""
+        return prediction_set(self.sources(), self.tables(), names, dense=True)
+
     def load(self, sources: Sources) -> None:
         write_sources(sources, self.source_root)
 

@@ -20,6 +20,7 @@ def point_in_time(
     *,
     max_age_days: int | None = None,
     unique_spine: bool = False,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Left as-of join of several feature tables onto ``spine``.
 
@@ -33,7 +34,12 @@ def point_in_time(
     The spine itself may repeat keys without limit, so unless ``unique_spine`` says it does not,
     its distinct keys are resolved and joined back by both keys, where adaptive execution can
     split a hot key.
+
+    ``dates`` may name the observation dates the spine lies on. Feature rows after the last of
+    them (and, with an age limit, too long before the first) are then not read: on a table laid
+    out by date the bounds prune partitions.
     """
+    wanted = {n: (_near(t, dates, max_age_days), c) for n, (t, c) in wanted.items()}
     for name, (table, _) in wanted.items():
         kind = table.schema[OBSERVED].dataType
         if not isinstance(kind, T.DateType):
@@ -46,6 +52,17 @@ def point_in_time(
     )
 
 
+def _near(table: DataFrame, dates: DataFrame | None, max_age_days: int | None) -> DataFrame:
+    """Rows that some spine date can see."""
+    if dates is None:
+        return table
+    day = F.col(OBSERVED)
+    near = day <= dates.agg(F.max(OBSERVED)).scalar()
+    if max_age_days is not None:
+        near &= day >= F.date_sub(dates.agg(F.min(OBSERVED)).scalar(), max_age_days)
+    return table.where(near)
+
+
 def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None) -> DataFrame:
     extras = [c for c in spine.columns if c not in KEYS]
     # Feature rows sort before the spine row of the same date, so an exact match is visible.
@@ -79,13 +96,14 @@ def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None) -> Data
     return carried.where(F.col("_side") == 1).select(*spine.columns, *picked)
 
 
-def exact_join(spine: DataFrame, wanted: Wanted) -> DataFrame:
+def exact_join(spine: DataFrame, wanted: Wanted, dates: DataFrame | None = None) -> DataFrame:
     """The same result by plain equi joins, valid when every table has a row for each spine key.
 
     Feature tables built on the observation grid have that property. All joins share both keys,
-    so the spine is shuffled once and adaptive execution may split a hot partition.
+    so the spine is shuffled once and adaptive execution may split a hot partition. With ``dates``
+    only the tables' partitions from the first to the last of them are read.
     """
     joined = spine
     for table, columns in wanted.values():
-        joined = joined.join(table.select(*KEYS, *columns), KEYS, "left")
+        joined = joined.join(_near(table, dates, 0).select(*KEYS, *columns), KEYS, "left")
     return joined.select(*spine.columns, *[c for _, cols in wanted.values() for c in cols])

@@ -40,8 +40,15 @@ def latest(df: DataFrame, column: str) -> Column:
 
 
 def observable(spine: DataFrame, horizon_days: int) -> DataFrame:
-    """Dates whose next ``horizon_days`` dates lie inside the spine's range."""
-    return spine.where(F.col(OBSERVED) <= F.date_sub(latest(spine, OBSERVED), horizon_days))
+    """Dates whose next ``horizon_days`` dates lie inside the spine's range.
+
+    The newest date comes from a one-row cross join. As a filter it would be pushed below the
+    spine's DISTINCT, and the log would be scanned once for each side; this way the two sides
+    share one shuffle.
+    """
+    newest = spine.agg(F.max(OBSERVED).alias("_newest"))
+    seen = F.col(OBSERVED) <= F.date_sub("_newest", horizon_days)
+    return spine.join(F.broadcast(newest), seen).select(OBSERVED)
 
 
 def observation_grid(

@@ -56,11 +56,14 @@ def assemble(
     max_age_days: int | None = None,
     unique_spine: bool = False,
     dense: bool = False,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """Join features to ``spine`` as of each row's date: keys, features in order, label last.
 
     Only the tables and columns asked for are read. ``dense`` declares that every feature table
     has a row for every spine key, which allows plain equi joins instead of the as-of join.
+    ``dates`` names the dates the spine lies on, if they are known more cheaply than by computing
+    it; feature rows that none of them can see are not read.
     """
     keep = [*KEYS, *([label] if label else [])]
     wanted: dict[str, tuple[DataFrame, list[str]]] = {}
@@ -70,26 +73,51 @@ def assemble(
     if not wanted:
         joined = spine
     elif dense:
-        joined = exact_join(spine, wanted)
+        joined = exact_join(spine, wanted, dates)
     else:
-        joined = point_in_time(spine, wanted, max_age_days=max_age_days, unique_spine=unique_spine)
+        joined = point_in_time(
+            spine, wanted, max_age_days=max_age_days, unique_spine=unique_spine, dates=dates
+        )
     return joined.select(*KEYS, *[f.name for f in features], *([label] if label else []))
 
 
 def training_set(
-    sources: Sources, tables: Mapping[str, DataFrame], names: Sequence[str] = CHURN_FEATURES
+    sources: Sources,
+    tables: Mapping[str, DataFrame],
+    names: Sequence[str] = CHURN_FEATURES,
+    *,
+    labels: DataFrame | None = None,
+    dense: bool = False,
 ) -> DataFrame:
-    """Labelled rows with point-in-time features from the given (usually stored) tables."""
+    """Labelled rows with point-in-time features from the given (usually stored) tables.
+
+    ``labels`` is the stored label table if there is one; otherwise it is computed.
+    """
     features = get_features(build_catalog(tables), names)
-    return assemble(login_labels(sources), features, tables, LABEL_COLUMN, unique_spine=True)
+    axis = label_axis(sources)
+    spine = login_labels(sources, axis) if labels is None else labels
+    return assemble(
+        spine, features, tables, LABEL_COLUMN, unique_spine=True, dense=dense, dates=axis.spine
+    )
 
 
 def prediction_set(
-    sources: Sources, tables: Mapping[str, DataFrame], names: Sequence[str] = CHURN_FEATURES
+    sources: Sources,
+    tables: Mapping[str, DataFrame],
+    names: Sequence[str] = CHURN_FEATURES,
+    *,
+    dense: bool = False,
 ) -> DataFrame:
-    """The accounts to score with the same features and no label."""
+    """The accounts to score with the same features and no label.
+
+    With ``dense`` (true of tables built on the grid) only the newest date of every feature
+    table is read.
+    """
     features = get_features(build_catalog(tables), names)
-    return assemble(eligibility_prediction(sources), features, tables, unique_spine=True)
+    dates = Axis.latest_of(sources["login"]).spine
+    return assemble(
+        eligibility_prediction(sources), features, tables, unique_spine=True, dense=dense, dates=dates
+    )
 
 
 # --- straight from the logs ---------------------------------------------------------------

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.contracts import CATALOG_NAMES, SOURCE_COLUMNS, SOURCE_DATE
 
@@ -41,7 +43,7 @@ class Sources(Mapping[str, DataFrame]):
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> Sources:
         """One folder per table under ``root``, as ``write_sources`` lays them out."""
-        return cls({name: spark.read.parquet(f"{root}/{name}") for name in SOURCE_COLUMNS})
+        return cls({n: read_table(spark, f"{root}/{n}", ddl) for n, ddl in SOURCE_COLUMNS.items()})
 
     @classmethod
     def from_catalog(
@@ -51,8 +53,15 @@ class Sources(Mapping[str, DataFrame]):
         return cls({short: spark.table(f"{schema}.{stored}") for short, stored in names.items()})
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, empty: str | T.StructType | None = None) -> DataFrame:
+    """A stored table. A table laid out by date that has no rows has no files and hence no
+    schema; ``empty`` is the schema it then gets."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if empty is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.read.schema(empty).parquet(path)
 
 
 def inline_dates(spark: SparkSession, dates: Iterable[dt.date], column: str) -> DataFrame:
