@@ -218,7 +218,12 @@ class FeatureStore:
         return Sources.from_parquet(self.spark, self.source_root)
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name), schema_of(name) if name in PUBLISHED else None)
+        if name == "purchase":
+            # Its files say whether the spend columns are exact, and to how many places.
+            return read_table(self.spark, self.path(name), schema_of(name))
+        if name in PUBLISHED:
+            return self.spark.read.schema(schema_of(name)).parquet(self.path(name))
+        return read_table(self.spark, self.path(name))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in FEATURE_TABLES}
@@ -226,11 +231,15 @@ class FeatureStore:
     def training_set(self, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:
         """The training set from the stored tables. They share the label's grid, so equi joins do."""
         labels = self.table("label_login_7d")
-        return training_set(self.sources(), self.tables(), names, labels=labels, dense=True)
+        seen = _observable(_dates(self.table("date_spine")))
+        dates = (seen[0], seen[-1]) if seen else None
+        return training_set(self.sources(), self.tables(), names, labels=labels, dense=True, dates=dates)
 
     def prediction_set(self, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:
         """The scoring set from the stored tables, reading one date of each."""
-        return prediction_set(self.sources(), self.tables(), names, dense=True)
+        spine = _dates(self.table("date_spine"))
+        dates = (spine[-1], spine[-1]) if spine else None
+        return prediction_set(self.sources(), self.tables(), names, dense=True, dates=dates)
 
     def load(self, sources: Sources) -> None:
         write_sources(sources, self.source_root)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -9,10 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import ENTITY, KEYS, OBSERVED
+from tidemark.operators.grid import by_entity
 
 # What to take from each feature table: the table and the columns wanted from it.
 Wanted = Mapping[str, tuple[DataFrame, Sequence[str]]]
 
+# Dates a spine lies on: as a table, or their first and last.
+Dates = DataFrame | tuple[dt.date, dt.date]
+
 
 def point_in_time(
     spine: DataFrame,
@@ -20,7 +25,7 @@ def point_in_time(
     *,
     max_age_days: int | None = None,
     unique_spine: bool = False,
-    dates: DataFrame | None = None,
+    dates: Dates | None = None,
 ) -> DataFrame:
     """Left as-of join of several feature tables onto ``spine``.
 
@@ -52,28 +57,29 @@ def point_in_time(
     )
 
 
-def _near(table: DataFrame, dates: DataFrame | None, max_age_days: int | None) -> DataFrame:
+def _near(table: DataFrame, dates: Dates | None, max_age_days: int | None) -> DataFrame:
     """Rows that some spine date can see."""
     if dates is None:
         return table
-    day = F.col(OBSERVED)
-    near = day <= dates.agg(F.max(OBSERVED)).scalar()
+    if isinstance(dates, DataFrame):
+        first, last = (dates.agg(edge(OBSERVED)).scalar() for edge in (F.min, F.max))
+    else:
+        first, last = (F.lit(d) for d in dates)
+    near = F.col(OBSERVED) <= last
     if max_age_days is not None:
-        near &= day >= F.date_sub(dates.agg(F.min(OBSERVED)).scalar(), max_age_days)
+        near &= F.col(OBSERVED) >= F.date_sub(first, max_age_days)
     return table.where(near)
 
 
 def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None) -> DataFrame:
     extras = [c for c in spine.columns if c not in KEYS]
     # Feature rows sort before the spine row of the same date, so an exact match is visible.
-    rows = spine.repartition(ENTITY).withColumn("_side", F.lit(1))
+    rows = by_entity(spine).withColumn("_side", F.lit(1))
     for name, (table, columns) in wanted.items():
         known = table.where(F.col(ENTITY).isNotNull() & F.col(OBSERVED).isNotNull()).select(
             *KEYS, F.struct(F.col(OBSERVED).alias("_at"), *columns).alias(f"_{name}")
         )
-        rows = rows.unionByName(
-            known.repartition(ENTITY).withColumn("_side", F.lit(0)), allowMissingColumns=True
-        )
+        rows = rows.unionByName(by_entity(known).withColumn("_side", F.lit(0)), allowMissingColumns=True)
     so_far = (
         Window.partitionBy(ENTITY)
         .orderBy(OBSERVED, "_side")
@@ -96,7 +102,7 @@ def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None) -> Data
     return carried.where(F.col("_side") == 1).select(*spine.columns, *picked)
 
 
-def exact_join(spine: DataFrame, wanted: Wanted, dates: DataFrame | None = None) -> DataFrame:
+def exact_join(spine: DataFrame, wanted: Wanted, dates: Dates | None = None) -> DataFrame:
     """The same result by plain equi joins, valid when every table has a row for each spine key.
 
     Feature tables built on the observation grid have that property. All joins share both keys,

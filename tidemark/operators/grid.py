@@ -17,8 +17,9 @@ def by_entity(df: DataFrame) -> DataFrame:
     """Shuffle rows by account into a fixed number of partitions.
 
     The number is ``spark.sql.shuffle.partitions`` (or ``spark.tidemark.grid.partitions``). It is
-    fixed on purpose: adaptive execution would merge partitions by the size of the account rows,
-    not knowing that each of them is about to become one row per date.
+    fixed on purpose: adaptive execution would merge partitions by the size of the shuffled rows,
+    not knowing that an account row is about to become one row per date, or that a sort and a
+    window over many unioned tables follow.
     """
     conf = df.sparkSession.conf
     n = conf.get("spark.tidemark.grid.partitions", None) or conf.get("spark.sql.shuffle.partitions")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import ENTITY, EVENT_DATE, FEATURE_TABLES, KEYS, TABLE_COLUMNS
-from tidemark.operators.asof import exact_join, point_in_time
+from tidemark.operators.asof import Dates, exact_join, point_in_time
 from tidemark.operators.grid import Axis, observation_grid
 from tidemark.operators.windows import attach
 from tidemark.plans.catalog import FeatureRef, build_catalog, get_features
@@ -56,7 +56,7 @@ def assemble(
     max_age_days: int | None = None,
     unique_spine: bool = False,
     dense: bool = False,
-    dates: DataFrame | None = None,
+    dates: Dates | None = None,
 ) -> DataFrame:
     """Join features to ``spine`` as of each row's date: keys, features in order, label last.
 
@@ -88,6 +88,7 @@ def training_set(
     *,
     labels: DataFrame | None = None,
     dense: bool = False,
+    dates: Dates | None = None,
 ) -> DataFrame:
     """Labelled rows with point-in-time features from the given (usually stored) tables.
 
@@ -96,9 +97,8 @@ def training_set(
     features = get_features(build_catalog(tables), names)
     axis = label_axis(sources)
     spine = login_labels(sources, axis) if labels is None else labels
-    return assemble(
-        spine, features, tables, LABEL_COLUMN, unique_spine=True, dense=dense, dates=axis.spine
-    )
+    dates = axis.spine if dates is None else dates
+    return assemble(spine, features, tables, LABEL_COLUMN, unique_spine=True, dense=dense, dates=dates)
 
 
 def prediction_set(
@@ -107,6 +107,7 @@ def prediction_set(
     names: Sequence[str] = CHURN_FEATURES,
     *,
     dense: bool = False,
+    dates: Dates | None = None,
 ) -> DataFrame:
     """The accounts to score with the same features and no label.
 
@@ -114,7 +115,7 @@ def prediction_set(
     table is read.
     """
     features = get_features(build_catalog(tables), names)
-    dates = Axis.latest_of(sources["login"]).spine
+    dates = Axis.latest_of(sources["login"]).spine if dates is None else dates
     return assemble(
         eligibility_prediction(sources), features, tables, unique_spine=True, dense=dense, dates=dates
     )

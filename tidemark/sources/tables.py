@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,16 +15,23 @@ from tidemark.contracts import CATALOG_NAMES, SOURCE_COLUMNS, SOURCE_DATE
 
 
 class Sources(Mapping[str, DataFrame]):
-    """The eight source tables by short name, also readable as attributes."""
+    """The eight source tables by short name, also readable as attributes.
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
+    A table may be given as a function that opens it, called when the table is first used:
+    opening a stored table lists its files and reads a footer.
+    """
+
+    def __init__(self, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         missing = sorted(set(SOURCE_COLUMNS) - set(frames))
         if missing:
             raise ValueError(f"missing source tables: {missing}")
         self._frames = dict(frames)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._frames[name]
+        frame = self._frames[name]
+        if not isinstance(frame, DataFrame):
+            frame = self._frames[name] = frame()
+        return frame
 
     def __iter__(self):
         return iter(self._frames)
@@ -32,10 +40,9 @@ class Sources(Mapping[str, DataFrame]):
         return len(self._frames)
 
     def __getattr__(self, name: str) -> DataFrame:
-        try:
-            return self.__dict__["_frames"][name]
-        except KeyError:
-            raise AttributeError(name) from None
+        if name not in self.__dict__.get("_frames", ()):
+            raise AttributeError(name)
+        return self[name]
 
     def replace(self, **frames: DataFrame) -> Sources:
         return Sources({**self._frames, **frames})
@@ -43,14 +50,16 @@ class Sources(Mapping[str, DataFrame]):
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> Sources:
         """One folder per table under ``root``, as ``write_sources`` lays them out."""
-        return cls({n: read_table(spark, f"{root}/{n}", ddl) for n, ddl in SOURCE_COLUMNS.items()})
+        return cls(
+            {n: partial(read_table, spark, f"{root}/{n}", ddl) for n, ddl in SOURCE_COLUMNS.items()}
+        )
 
     @classmethod
     def from_catalog(
         cls, spark: SparkSession, schema: str, names: Mapping[str, str] = CATALOG_NAMES
     ) -> Sources:
         """Tables of a catalog schema, under their stored names."""
-        return cls({short: spark.table(f"{schema}.{stored}") for short, stored in names.items()})
+        return cls({n: partial(spark.table, f"{schema}.{stored}") for n, stored in names.items()})
 
 
 def read_table(spark: SparkSession, path: str, empty: str | T.StructType | None = None) -> DataFrame:
