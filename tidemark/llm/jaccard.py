@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.counting import Ranking, grouped, ranked
 from tidemark.llm.support import (
     NOT_SPACE, Rolling, arrow_rows, column_bytes, distinct, fold, lower, ship, spans, stored, text_bytes, text_slices,
 )
@@ -42,10 +43,6 @@ from tidemark.llm.support import (
 N = 5
 PERCENT = 80
 PART = 32
-#: Uses from which a shingle counts as frequent, at first; doubled until the list fits.
-FREQUENT = 32
-#: Most frequent shingles that are listed (12 bytes each), and bits of the table of repeated ones.
-LISTED, TABLE_BITS = 1 << 20, 27
 #: Text bytes whose shingles one task counts.
 RANGE_BYTES = 24 << 20
 
@@ -74,118 +71,18 @@ def node_of(own: np.ndarray) -> bytes | None:
 # --- 1. counting ---------------------------------------------------------------------------
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Sorted 32-bit values as 16-bit steps; 65535 means a step of that size goes on."""
-    steps = np.diff(values.astype(np.int64), prepend=0)
-    over = steps // 65535
-    at = np.cumsum(over + 1) - 1
-    out = np.full(int(at[-1]) + 1 if len(at) else 0, 65535, np.uint16)
-    out[at] = steps % 65535
-    return out.tobytes()
-
-
-def unpack(raw: bytes) -> np.ndarray:
-    steps = np.frombuffer(raw, np.uint16)
-    return np.cumsum(steps, dtype=np.int64)[steps != 65535].astype(np.uint32)
-
-
-class Ranking:
-    """How often shingles are used, as far as ranking needs it; the same bounded size for any input."""
-
-    def __init__(self, ranges: int, slot_bits: int):
-        self.ranges, self.slot_bits = ranges, slot_bits
-        self.table = np.zeros((ranges << slot_bits) // 8, np.uint8)
-        self.frequent, self.level = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
-
-    def split(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        high = tokens >> np.uint64(32)
-        return (high * np.uint64(self.ranges)) >> np.uint64(32), tokens & np.uint64(0xFFFFFFFF)
-
-    def repeated(self, tokens: np.ndarray) -> np.ndarray:
-        part, low = self.split(tokens)
-        slot = (part << np.uint64(self.slot_bits)) + (low >> np.uint64(32 - self.slot_bits))
-        return (self.table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-    def ranks(self, tokens: np.ndarray) -> np.ndarray:
-        """0: used once; 1: rare; more: frequent."""
-        rank = self.repeated(tokens).astype(np.uint8)
-        if len(self.frequent):
-            part, low = self.split(tokens)
-            key = (part << np.uint64(32)) + low
-            at = np.minimum(np.searchsorted(self.frequent, key), len(self.frequent) - 1)
-            hit = self.frequent[at] == key
-            rank[hit] = self.level[at[hit]]
-        return rank
-
-
 def ranking(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Ranking:
-    ranges = max(1, min(-(-text_bytes(docs) // range_bytes), 1 << 16))
-    slot_bits = min(32, max(3, TABLE_BITS - (ranges - 1).bit_length()))
-    empty = Ranking(ranges, slot_bits)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen, found = set(), []
-            for _, _, data, offsets in text_slices(batch):
-                for own in shingle_sets(data, offsets):
-                    node = node_of(own)
-                    if node and node not in seen:  # copies in a batch count once
-                        seen.add(node)
-                        found.append(own)
-            if not found:
-                continue
-            tokens = np.sort(np.concatenate(found))
-            part, low = empty.split(tokens)
-            edges = np.searchsorted(part, np.arange(ranges + 1))
-            keep = [k for k in range(ranges) if edges[k + 1] > edges[k]]
-            yield arrow_rows(
-                part=np.array(keep, np.int32),
-                low=([pack(np.sort(low[edges[k] : edges[k + 1]].astype(np.uint32))) for k in keep], pa.binary()),
-            )
-
-    def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = np.sort(np.concatenate([unpack(v.as_py()) for b in batches for v in b.column(1)]))
-        first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
-        n = np.diff(first, append=len(low))
-        value = low[first]
-        table = np.zeros(1 << slot_bits, bool)
-        table[value[n > 1] >> np.uint32(32 - slot_bits)] = True
-        often = n >= FREQUENT
-        yield arrow_rows(
-            part=([key[0].as_py()], pa.int32()), table=([np.packbits(table, bitorder="little").tobytes()], pa.binary()),
-            value=([value[often].astype(np.uint32).tobytes()], pa.binary()), n=([n[often].astype(np.uint32).tobytes()], pa.binary()),
-        )
-
-    sent = docs.select("text").mapInArrow(send, "part int, low binary")
-    counted = stored(
-        sent.groupBy("part").applyInArrow(_iterating(count), "part int, table binary, value binary, n binary"), "shingle-counts"
-    )
-    # The least doubling of FREQUENT whose list fits, from per-range counts.
-    out = empty
-    limit, lists = FREQUENT, []
-    for row in counted.toLocalIterator():
-        size = len(row.table)
-        out.table[row.part * size : (row.part + 1) * size] = np.frombuffer(row.table, np.uint8)
-        value, n = np.frombuffer(row.value, np.uint32), np.frombuffer(row.n, np.uint32)
-        lists.append(((np.uint64(row.part) << np.uint64(32)) + value[n >= limit].astype(np.uint64), n[n >= limit]))
-        while sum(len(v) for v, _ in lists) > LISTED:
-            limit *= 2
-            lists = [(v[m >= limit], m[m >= limit]) for v, m in lists]
-    if lists:
-        values, n = np.concatenate([v for v, _ in lists]), np.concatenate([m for _, m in lists])
-        order = np.argsort(values)
-        out.frequent, out.level = values[order], np.log2(n[order]).astype(np.uint8)
-    return out
-
-
-def _iterating(f):
-    """``f(key, batches)`` with the annotations by which Spark hands groups over batch by batch."""
-
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from f(key, batches)
+    def tokens(batch: pa.RecordBatch) -> np.ndarray:
+        seen, found = set(), [np.zeros(0, np.uint64)]
+        for _, _, data, offsets in text_slices(batch):
+            for own in shingle_sets(data, offsets):
+                node = node_of(own)
+                if node and node not in seen:  # copies in a batch count once
+                    seen.add(node)
+                    found.append(own)
+        return np.concatenate(found)
 
-    run.__annotations__ = {"key": tuple[pa.Scalar, ...], "batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
-    return run
+    return ranked(docs.select("text"), tokens, -(-text_bytes(docs) // range_bytes))
 
 
 # --- 2. prefixes ---------------------------------------------------------------------------
@@ -302,7 +199,7 @@ def group_links(prefixes: DataFrame, sets: DataFrame, groups: DataFrame, percent
                          least=([int(least)], pa.int64()), most=([int(most)], pa.int64()), tokens=([union.tobytes()], pa.binary()))
 
     unions = members.groupBy("root", "part").applyInArrow(
-        _iterating(unite), "root binary, part int, least long, most long, tokens binary"
+        grouped(unite), "root binary, part int, least long, most long, tokens binary"
     )
     unions = stored(unions, "group-unions")
     # Which groups a set asks: those that share a prefix shingle with it and come before its own.

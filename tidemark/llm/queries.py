@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, jaccard, lines, packing, quality, toxicity, warc
+from tidemark.llm import (
+    decontaminate, fingerprint, jaccard, lines, packing, ppm, quality, repeats, toxicity, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +18,18 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scored(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -29,6 +39,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compared(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,9 +57,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_repeats": op2_repeats,
     "op3_warc": op3_warc,
+    "op4_ppm": op4_ppm,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
+    "op7_order_minhash": op7_order_minhash,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
