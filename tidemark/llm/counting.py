@@ -20,6 +20,8 @@ from tidemark.llm.support import arrow_rows, column_bytes, stored
 FREQUENT = 32
 #: Most frequent hashes that are listed (9 bytes each), and bits of the table of repeated ones.
 LISTED, TABLE_BITS = 1 << 20, 27
+#: Hashes that a task gathers before it sends them.
+_WAITING = 3 << 20
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -76,7 +78,7 @@ def grouped(f):
     return run
 
 
-def ranked(df: DataFrame, tokens: Callable[[pa.RecordBatch], np.ndarray], ranges: int, least: int = 2) -> Ranking:
+def ranked(df: DataFrame, tokens: Callable[[pa.RecordBatch], Iterator[np.ndarray]], ranges: int, least: int = 2) -> Ranking:
     """The ranking of the hashes that ``tokens`` finds in batches; the table holds those used ``least`` times or more."""
     ranges = max(1, min(ranges, 1 << 16))
     slot_bits = min(32, max(3, TABLE_BITS - (ranges - 1).bit_length()))
@@ -84,16 +86,28 @@ def ranked(df: DataFrame, tokens: Callable[[pa.RecordBatch], np.ndarray], ranges
     split = Ranking(ranges, 3).split
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.sort(tokens(batch))
+        waiting, size = [], 0
+
+        def packed():
+            found = np.sort(np.concatenate(waiting))
             part, low = split(found)
             edges = np.searchsorted(part, np.arange(ranges + 1))
+            low = low.astype(np.uint32)
             keep = [k for k in range(ranges) if edges[k + 1] > edges[k]]
-            yield arrow_rows(
-                part=np.array(keep, np.int32),
-                low=([pack(np.sort(low[edges[k] : edges[k + 1]].astype(np.uint32))) for k in keep], pa.binary()),
+            return arrow_rows(
+                part=np.array(keep, np.int32), low=([pack(np.sort(low[edges[k] : edges[k + 1]])) for k in keep], pa.binary())
             )
 
+        for batch in batches:
+            for found in tokens(batch):
+                waiting.append(found)
+                size += len(found)
+                if size > _WAITING:
+                    yield packed()
+                    waiting, size = [], 0
+        if size:
+            yield packed()
+
     def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.sort(np.concatenate([unpack(v.as_py()) for b in batches for v in b.column(1)]))
         first = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))

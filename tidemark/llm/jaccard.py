@@ -72,15 +72,16 @@ def node_of(own: np.ndarray) -> bytes | None:
 
 
 def ranking(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Ranking:
-    def tokens(batch: pa.RecordBatch) -> np.ndarray:
-        seen, found = set(), [np.zeros(0, np.uint64)]
+    def tokens(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        seen = set()
         for _, _, data, offsets in text_slices(batch):
+            found = [np.zeros(0, np.uint64)]
             for own in shingle_sets(data, offsets):
                 node = node_of(own)
                 if node and node not in seen:  # copies in a batch count once
                     seen.add(node)
                     found.append(own)
-        return np.concatenate(found)
+            yield np.concatenate(found)
 
     return ranked(docs.select("text"), tokens, -(-text_bytes(docs) // range_bytes))
 

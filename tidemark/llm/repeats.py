@@ -41,9 +41,10 @@ from tidemark.llm.counting import exchanged, ranked
 from tidemark.llm.support import Rolling, arrow_rows, column_bytes, distinct, mix, ship, slices, stored, text_bytes, text_slices
 
 LENGTH, WINDOW, GRAM = 400, 128, 8
-#: Phrases compared between two exchanges, and the most phrases compared. Beyond, the bytes decide.
-STRIDE, DEPTH = 4, 32
-CHUNK_BYTES, RANGE_BYTES = 8 << 20, 24 << 20
+#: Depths after which shards exchange; beyond the last one, the bytes decide. Few suffixes get past the first.
+DEPTHS = (4, 12, 32)
+DEPTH = DEPTHS[-1]
+CHUNK_BYTES, RANGE_BYTES = 3 << 20, 24 << 20
 _SLICE = 1 << 20
 #: No window nor the phrases around it reach further.
 _REACH = LENGTH + 2 * (WINDOW + GRAM)
@@ -239,10 +240,10 @@ def common_prefixes(chunks: DataFrame, ranges: int) -> DataFrame:
     """``(chunk, lcp)``: for each suffix of a shard how many phrases it shares with another one, anywhere."""
     shard = chunks.select("chunk", "symbols", "before", "starts", "ends")
     lcp = None
-    for depth in range(0, DEPTH, STRIDE):
+    for depth, next_depth in zip((0, *DEPTHS), DEPTHS):
         rows = shard.withColumn("lcp", F.lit(None).cast("binary")) if lcp is None else shard.join(lcp, "chunk")
 
-        def blocks(batch, k, depth=depth):
+        def blocks(batch, k, depth=depth, next_depth=next_depth):
             """Blocks at the next depths of the suffixes that still share all before; None where none is left."""
             symbols, before = _array(batch, "symbols", k, np.uint64), _array(batch, "before", k, np.int32)
             have = _array(batch, "lcp", k, np.uint8) if depth else np.zeros(len(symbols), np.uint8)
@@ -254,7 +255,7 @@ def common_prefixes(chunks: DataFrame, ranges: int) -> DataFrame:
                     end = _carry(end, before)
                 open_ &= end - starts < _REACH
             found = []
-            for d, (block, long) in enumerate(block_names(symbols, before, depth + STRIDE)):
+            for d, (block, long) in enumerate(block_names(symbols, before, next_depth)):
                 if d >= depth:
                     found.append((block, long & open_))
             return have, found
@@ -335,8 +336,9 @@ def removed(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     ranges = max(1, -(-text_bytes(docs) // RANGE_BYTES))
 
-    def phrases(batch: pa.RecordBatch) -> np.ndarray:
-        return np.concatenate([np.zeros(0, np.uint64), *[Phrases(data, at).hashes for _, _, data, at in text_slices(batch, "text", _SLICE)]])
+    def phrases(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, data, at in text_slices(batch, "text", _SLICE):
+            yield Phrases(data, at).hashes
 
     used = ranked(docs.select("text"), phrases, ranges)
     rows = stored(shards(docs, used), "shards")
@@ -344,11 +346,10 @@ def removed(docs: DataFrame) -> DataFrame:
     lcp = common_prefixes(chunks, ranges)
     texts = stored(chunks.select("chunk", "ids", "offsets", "text", "starts").join(lcp, "chunk"), "intervals")
 
-    def questions(batch: pa.RecordBatch) -> np.ndarray:
-        found = [np.zeros(0, np.uint64)]
+    def questions(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for k in range(batch.num_rows):
-            found += [h.ranges(s, s + LENGTH) for *_, s, h in borders(batch, k)]
-        return np.concatenate(found)
+            for *_, open_, h in borders(batch, k):
+                yield h.ranges(open_, open_ + LENGTH)
 
     asked = ranked(texts, questions, ranges, least=1)
     sent = docs.sparkSession.sparkContext.broadcast(asked)
@@ -370,11 +371,13 @@ def removed(docs: DataFrame) -> DataFrame:
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                found = list(borders(batch, k))
-                asked = [h.ranges(open_, open_ + LENGTH) for *_, open_, h in found]
+                found, asked = [], []
+                for i, j, text, at, certain, open_, h in borders(batch, k):
+                    found.append((i, j, text, at, certain.astype(np.int32), open_.astype(np.int32)))
+                    asked.append(h.ranges(open_, open_ + LENGTH))
                 again = _answered(distinct(np.concatenate([np.zeros(0, np.uint64), *asked])), batch.column(batch.schema.get_field_index("answers"))[k].as_py(), ranges)
                 n, cut, runs, sha = [], [], [], []
-                for (i, j, text, at, certain, open_, _), hashes in zip(found, asked, strict=True):
+                for (i, j, text, at, certain, open_), hashes in zip(found, asked, strict=True):
                     place = np.minimum(np.searchsorted(again, hashes), max(len(again) - 1, 0))
                     hit = np.concatenate((certain, open_[again[place] == hashes] if len(again) else open_[:0]))
                     edge = np.zeros(len(text) + 1, np.int64)
