@@ -8,8 +8,9 @@ Documents with equal sets are one node. The steps:
    ranking gives exact results; this one makes frequent shingles matter only to documents made of them.
 2. Prefixes. Two sets that link share one of their first ``n - ceil(0.8 n) + 1`` shingles in that ranking. A prefix
    shingle used once links nothing, so only sets with repeated shingles in their prefix go on.
-3. Groups. Every set is compared with the least set that shares a prefix shingle with it; linked
-   sets form groups of similar documents, and large groups are kept in parts of ``PART`` sets.
+3. Groups. In each of ``ROUNDS`` rounds every set is compared with one set: of the least sets of its prefix
+   shingles' lists, one that is not in its group yet. Linked sets form groups of similar documents, so a
+   large group of copies takes a comparison per set. Large groups are kept in parts of ``PART`` sets.
 4. Token-group matrix. A group stores the union of its members' shingles. For each shingle whose
    sets are in more than one group, sets are queries to the other groups: the overlap of the query with a group's
    union bounds that with any member, and only groups that reach ``0.8 n`` are opened, member by member.
@@ -43,6 +44,7 @@ from tidemark.llm.support import (
 N = 5
 PERCENT = 80
 PART = 32
+ROUNDS = 3
 #: Text bytes whose shingles one task counts.
 RANGE_BYTES = 24 << 20
 
@@ -233,9 +235,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = stored(candidates.groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "sets")
     prefixes = stored(candidates.select("node", F.explode("tokens").alias("token")).distinct(), "prefixes")
     leaders = prefixes.groupBy("token").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    stars = prefixes.join(leaders, "token").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    inside = stored(linked(stars, sets, percent), "star-links")
-    groups = components(inside)
+    options = stored(prefixes.join(leaders, "token").where("node <> b").select("node", "b").distinct(), "leaders")
+    links, groups, tried = None, None, None
+    for turn in range(ROUNDS):
+        left = options
+        if groups is not None:
+            own = groups.select("node", F.col("root").alias("r"))
+            other = groups.select(F.col("node").alias("b"), F.col("root").alias("q"))
+            left = options.join(own, "node", "left").join(other, "b", "left")
+            left = left.where(F.coalesce("r", "node") != F.coalesce("q", "b")).select("node", "b")
+            left = left.join(tried, ["node", "b"], "left_anti")
+        pick = F.min(F.struct(F.xxhash64("b", F.lit(turn)).alias("h"), "b")) if turn else F.min(F.struct("b"))
+        stars = stored(left.groupBy("node").agg(pick.alias("x")).select("node", F.col("x.b").alias("b")), "stars")
+        if turn and not stars.take(1):
+            break
+        tried = stars if tried is None else tried.unionAll(stars)
+        found = stored(linked(stars.withColumnRenamed("node", "a"), sets, percent), "star-links")
+        links = found if links is None else links.unionAll(found)
+        groups = components(links)
+    inside = links
     shared = prefixes.join(leaders.select("token"), "token", "left_semi")
     across = stored(group_links(shared, sets, groups, percent), "group-links")
     roots = components(inside.unionAll(across)) if across.take(1) else groups
