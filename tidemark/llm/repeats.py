@@ -73,15 +73,13 @@ class Phrases:
         self.places = least_places(data)
         mark = np.zeros(len(data) + 1, bool)
         mark[self.places] = True
+        mark[offsets] = True  # documents are cut at their borders, which lie in no window's inside
         self.cuts = np.flatnonzero(mark)
-        owner = np.searchsorted(offsets, self.cuts, side="right") - 1
-        self.pair = np.flatnonzero(owner[1:] == owner[:-1]) if len(owner) else np.zeros(0, np.int64)
-        self.starts, self.ends = self.cuts[self.pair], self.cuts[self.pair + 1]
-        self.owner = owner[self.pair] if len(owner) else owner
+        self.starts, self.ends = self.cuts[:-1], self.cuts[1:]
+        self.owner = np.searchsorted(offsets, self.starts, side="right") - 1
         self.rolling = Rolling(data)
         self.hashes = self.rolling.ranges(self.starts, self.ends)
-        self.follows = np.zeros(len(self.pair), bool)
-        self.follows[1:] = self.ends[:-1] == self.starts[1:]
+        self.follows = ~np.isin(self.starts, offsets)
 
 
 def suffix_order(symbols: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,11 +321,7 @@ def borders(batch: pa.RecordBatch, k: int):
         s = s[may]
         # The cuts around the window: the last one at or before it, the first one at or after its end.
         low, high = number[s + 1] - 1, number[s + LENGTH]
-        there = (low >= 0) & (high < len(p.cuts))
-        a, b = p.cuts[np.maximum(low, 0)], p.cuts[np.minimum(high, len(p.cuts) - 1)]
-        doc = np.searchsorted(at, s, side="right") - 1
-        there &= (a >= at[doc]) & (b <= at[doc + 1])
-        certain = there & (own[a] >= high - low)
+        certain = own[p.cuts[low]] >= high - low
         yield i, j, text, at, s[certain], s[~certain], p.rolling
 
 

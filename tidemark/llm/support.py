@@ -46,7 +46,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     optimizer sees the true size."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
