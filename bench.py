@@ -119,9 +119,9 @@ def main() -> None:
 
 
 def feature_names(sources) -> list[str]:
-    from tidemark.plans.catalog import build_catalog
+    from tidemark.plans.catalog import FeatureIndex
 
-    return list(build_catalog(feature_tables(sources)))
+    return list(FeatureIndex(feature_tables(sources)))
 
 
 def measure(make, repeats: int = 2) -> float:

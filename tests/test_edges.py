@@ -7,7 +7,7 @@ from handmade import at, day, noon, sources, spine_logins
 
 from tidemark.contracts import FEATURE_TABLES, schema_of
 from tidemark.operators.asof import exact_join, point_in_time
-from tidemark.plans.catalog import build_catalog, get_features
+from tidemark.plans.catalog import FeatureIndex
 from tidemark.plans.datasets import CHURN_FEATURES, assemble, feature_tables
 from tidemark.plans.features import (
     build_table,
@@ -237,19 +237,19 @@ def test_as_of_needs_dates(spark):
 def test_catalog(spark):
     s = sources(spark, account=[(1, 0)], login=spine_logins(5))
     tables = feature_tables(s)
-    catalog = build_catalog(tables)
+    catalog = FeatureIndex(tables)
     assert len(catalog) == 53 and "account_id" not in catalog
-    assert [f.name for f in get_features(catalog, CHURN_FEATURES)] == CHURN_FEATURES
+    assert [f.name for f in catalog.pick(CHURN_FEATURES)] == CHURN_FEATURES
     with pytest.raises(KeyError, match="win_rate_7d"):
-        get_features(catalog, ["no_such_feature"])
+        catalog.pick(["no_such_feature"])
     with pytest.raises(ValueError, match="battles_7d"):
-        build_catalog({"one": tables["battle"], "two": tables["battle"]})
+        FeatureIndex({"one": tables["battle"], "two": tables["battle"]})
 
 
 def test_assemble_orders_columns(spark):
     s = sources(spark, account=[(1, 0)], login=[(1, 5), (1, 20)])
     tables = feature_tables(s)
-    features = get_features(build_catalog(tables), ["win_rate_7d", "country", "battles_7d"])
+    features = FeatureIndex(tables).pick(["win_rate_7d", "country", "battles_7d"])
     spine = _spine(spark, [(1, 5)]).selectExpr("true AS label", "*")
     for dense in (False, True):
         got = assemble(spine, features, tables, "label", dense=dense)

@@ -12,6 +12,7 @@ from tidemark.maintain import (
     PUBLISHED,
     FeatureStore,
     affected_dates,
+    append_batch,
     append_day,
     carry_forward_snapshot,
     next_batch_date,
@@ -20,6 +21,7 @@ from tidemark.maintain import (
     rows_by_table_and_date,
     shared_folder,
 )
+from tidemark.operators.asof import point_in_time
 from tidemark.operators.grid import Axis
 from tidemark.plans.datasets import (
     feature_tables,
@@ -30,7 +32,7 @@ from tidemark.plans.datasets import (
 )
 from tidemark.plans.features import build_table
 from tidemark.plans.labels import eligibility_prediction
-from tidemark.sources.tables import Sources, append_table, overwrite, save_table
+from tidemark.sources.tables import Sources, append_table, overwrite, read_table, save_table
 
 # Stored tables have one folder per date; a shorter span keeps those tests quick.
 STORED_SPAN = 32
@@ -214,3 +216,36 @@ def test_catalog_tables(spark):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_stale_store_is_not_scored(spark, tmp_path):
+    s = _random_sources(spark, span=12)
+    store = FeatureStore(spark, str(tmp_path))
+    store.load(s)
+    store.publish()
+    assert store.prediction_set().count() > 0
+    new = next_batch_date(s["login"])
+    batch = s["login"].limit(3).withColumn("event_date", F.lit(new)).withColumn("login_ts", F.lit(new).cast("timestamp"))
+    append_day(store.source_root, {"login": batch.select(*s["login"].columns)}, new)
+    with pytest.raises(RuntimeError, match="refresh"):
+        store.prediction_set()
+    store.refresh({"login": [new]})
+    got = store.prediction_set(["battles_7d", "account_age_days"])
+    assert got.count() > 0 and got.where("battles_7d IS NULL OR account_age_days IS NULL").isEmpty()
+    with pytest.raises(KeyError, match="account"):
+        store.refresh({"account": [new]})
+
+
+def test_skipped_rows_are_counted(spark, tmp_path):
+    log = spark.createDataFrame([(1, dt.date(2024, 3, 1)), (2, dt.date(2024, 3, 2))], "account_id long, event_date date")
+    overwrite(log.limit(1), str(tmp_path / "log"), "event_date")
+    assert append_batch(log, str(tmp_path / "log")) == 1 and append_batch(log, str(tmp_path / "log")) == 2
+    assert read_table(spark, str(tmp_path / "log")).count() == 2
+
+
+def test_repeated_feature_rows_give_one_answer(spark):
+    spine = spark.createDataFrame([(1, dt.date(2024, 3, 2))], "account_id long, observation_date date")
+    rows = [(1, dt.date(2024, 3, 1), v) for v in range(50)]
+    table = spark.createDataFrame(rows, "account_id long, observation_date date, v int").repartition(7)
+    got = {point_in_time(spine, {"f": (table, ["v"])}).first().v for _ in range(3)}
+    assert got == {49}

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
-import tempfile
 from bisect import bisect_left
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
@@ -44,11 +42,17 @@ DAY = dt.timedelta(days=1)
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables, under the checkpoint folder the session names.
 
-    A machine-local folder is used only where no such setting exists, as in tests.
+    Where none is named, the session's warehouse folder, which executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    name = f"{purpose}-{uuid4().hex}"
-    return f"{base.rstrip('/')}/{name}" if base else os.path.join(tempfile.mkdtemp(prefix="tidemark-"), name)
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    return f"{base.rstrip('/')}/{purpose}-{uuid4().hex}"
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a staging folder that ``shared_folder`` named."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # --- dates ------------------------------------------------------------------------------
@@ -60,20 +64,25 @@ def date_bounds(log: DataFrame, column: str) -> DataFrame:
     return log.agg(F.min(day).alias("first_date"), F.max(day).alias("last_date"))
 
 
+def _one_row(df: DataFrame, what: str) -> list[dt.date]:
+    """The dates of a one-row frame; an error if the log they come from has no dated rows."""
+    values = list(df.first())
+    if None in values:
+        raise RuntimeError(f"no dated rows to derive {what} from")
+    return values
+
+
 def next_batch_date(log: DataFrame, column: str = "login_ts") -> dt.date:
     """The day after the log's newest event."""
-    newest = date_bounds(log, column).first()["last_date"]
-    if newest is None:
-        raise RuntimeError("the log is empty; load initial data first")
-    return newest + DAY
+    after = date_bounds(log, column).select(F.date_add("last_date", 1))
+    return _one_row(after, "the next batch date")[0]
 
 
 def restatement_dates(log: DataFrame, column: str = "login_ts", shares=(0.25, 0.5, 0.75)) -> list[dt.date]:
     """Dates at the given shares of the log's span, truncated to whole days."""
-    first, last = date_bounds(log, column).first()
-    if first is None:
-        raise RuntimeError("the log is empty; load initial data first")
-    return [first + dt.timedelta(days=int((last - first).days * share)) for share in shares]
+    span = F.datediff("last_date", "first_date")
+    at = [F.date_add("first_date", F.floor(span * F.lit(share)).cast("int")) for share in shares]
+    return _one_row(date_bounds(log, column).select(*at), "restatement dates")
 
 
 def rows_by_table_and_date(logs: Mapping[str, DataFrame], dates: Iterable[dt.date] | None = None) -> DataFrame:
@@ -117,10 +126,18 @@ def with_restated(
     return kept.unionByName(replacement.where(F.col(column).isin(days)))
 
 
-def append_batch(batch: DataFrame, path: str, column: str = EVENT_DATE) -> None:
-    """Append the rows of ``batch`` on dates the table does not have. Running it again adds nothing."""
-    spark = batch.sparkSession
-    append(absent_dates(batch, read_table(spark, path), column), path, column)
+def append_batch(batch: DataFrame, path: str, column: str = EVENT_DATE) -> int:
+    """Append the rows of ``batch`` on dates the table does not have. Running it again adds nothing.
+
+    Returns how many rows were left out because their date is already stored.
+    """
+    days = [r[0] for r in batch.select(column).distinct().toLocalIterator()]  # one per calendar day
+    stored = read_table(batch.sparkSession, path).where(F.col(column).isin(days))
+    present = [r[0] for r in stored.select(column).distinct().toLocalIterator()]
+    late = F.coalesce(F.col(column).isin(present), F.lit(False))
+    skipped = batch.where(late).count()
+    append(batch.where(~late), path, column)
+    return skipped
 
 
 def append_day(root: str, batches: Mapping[str, DataFrame], day: dt.date) -> None:
@@ -147,6 +164,7 @@ def restate_dates(root: str, replacements: Mapping[str, DataFrame], dates: Itera
         staged = shared_folder(spark, f"restate-{name}")
         overwrite(df.where(F.col(EVENT_DATE).isin(days)), staged)
         replace_dates(read_table(spark, staged), f"{root}/{name}", EVENT_DATE, days)
+        discard(spark, staged)
 
 
 def carry_forward_snapshot(snapshot: DataFrame, accounts: DataFrame, day: dt.date) -> DataFrame:
@@ -236,10 +254,18 @@ class FeatureStore:
         return training_set(self.sources(), self.tables(), names, labels=labels, dense=True, dates=dates)
 
     def prediction_set(self, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:
-        """The scoring set from the stored tables, reading one date of each."""
+        """The scoring set from the stored tables, reading one date of each.
+
+        Accounts and features are those of the last ``publish`` or ``refresh``. If the login log has newer
+        dates by now, that is an error: the stored features say nothing about them.
+        """
         spine = _dates(self.table("date_spine"))
+        newest = self.sources()["login"].agg(F.max(EVENT_DATE)).first()[0]
+        if (spine[-1] if spine else None) != newest:
+            raise RuntimeError(f"stored features end on {spine[-1] if spine else None}, logins on {newest}; call refresh first")
         dates = (spine[-1], spine[-1]) if spine else None
-        return prediction_set(self.sources(), self.tables(), names, dense=True, dates=dates)
+        eligible = self.table("eligibility_prediction")
+        return prediction_set(self.sources(), self.tables(), names, eligible=eligible, dense=True, dates=dates)
 
     def load(self, sources: Sources) -> None:
         write_sources(sources, self.source_root)
@@ -273,6 +299,8 @@ class FeatureStore:
         """
         self._check(names)
         sources = self.sources()
+        if strange := sorted(set(changed) - set(SOURCE_DATE)):
+            raise KeyError(f"not dated source tables: {strange}; known ones: {sorted(SOURCE_DATE)}")
         # Dates on the driver: at most one per calendar day.
         before = _dates(self.table("date_spine"))
         after = _dates(date_spine(sources["login"]))

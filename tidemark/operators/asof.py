@@ -35,7 +35,8 @@ def point_in_time(
 
     All tables are resolved in one pass: their rows and the spine keys are unioned, each side
     shuffled once by account, and one window carries each table's last row forward as a struct.
-    An account has at most one row per calendar day and table, which bounds the window group.
+    Feature rows that repeat a key are first reduced to the greatest of them, column by column in the order
+    asked for, so an account has one row per calendar day and table, which bounds the window group.
     The spine itself may repeat keys without limit, so unless ``unique_spine`` says it does not,
     its distinct keys are resolved and joined back by both keys, where adaptive execution can
     split a hot key.
@@ -79,7 +80,9 @@ def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None) -> Data
         known = table.where(F.col(ENTITY).isNotNull() & F.col(OBSERVED).isNotNull()).select(
             *KEYS, F.struct(F.col(OBSERVED).alias("_at"), *columns).alias(f"_{name}")
         )
-        rows = rows.unionByName(by_entity(known).withColumn("_side", F.lit(0)), allowMissingColumns=True)
+        # Rows that repeat a key become the greatest of them; partitioned by account already, no shuffle more.
+        known = by_entity(known).groupBy(*KEYS).agg(F.max(f"_{name}").alias(f"_{name}"))
+        rows = rows.unionByName(known.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     so_far = (
         Window.partitionBy(ENTITY)
         .orderBy(OBSERVED, "_side")

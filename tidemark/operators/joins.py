@@ -13,18 +13,24 @@ def range_join(grid: DataFrame, spine: DataFrame, log: DataFrame, span: Span) ->
     """Left join every grid row with the log rows its window sees, not aggregated.
 
     Written as an account equi join with a date range, Spark would bring all events and all
-    observations of an account together and test every pair. Here each event is first matched,
-    where it is read, with the observation dates that see it (the spine is broadcast; one row
-    per calendar day at most), and the result is joined by account *and* date. A hot account is
-    spread over its dates. ``grid`` must use the dates of ``spine``.
+    observations of an account together and test every pair. Here each event is first given
+    the observation dates that see it and joined by account *and* date. In a bounded window these
+    are the window's days, taken from the event's own date; only an open window compares events with the
+    spine, since there the output itself has a row per event and later date. Events meet the grid in an
+    inner join, of which adaptive execution may split either side, and grid rows without events are
+    added. ``grid`` must use the dates of ``spine``.
     """
     day = F.col(EVENT_DATE)
-    visible = day <= F.date_add(OBSERVED, span.last)
-    if span.first is not None:
-        visible &= day >= F.date_add(OBSERVED, span.first)
-    seen = log.join(F.broadcast(spine), visible)
+    if span.first is None:
+        seen = log.join(spine, day <= F.date_add(OBSERVED, span.last))
+    else:
+        days = F.sequence(F.date_sub(day, span.last), F.date_sub(day, span.first))
+        seen = log.withColumn(OBSERVED, F.explode(days))
     columns = [c for c in log.columns if c != ENTITY]
-    return grid.join(seen, KEYS, "left").select(*grid.columns, *columns)
+    inside = grid.join(seen, KEYS).select(*grid.columns, *columns)
+    empty = grid.join(seen.select(*KEYS).distinct(), KEYS, "left_anti")
+    nothing = [F.lit(None).cast(log.schema[c].dataType).alias(c) for c in columns]
+    return inside.unionByName(empty.select(*grid.columns, *nothing))
 
 
 def snapshot_join(grid: DataFrame, snapshot: DataFrame, date: str = "date") -> DataFrame:

@@ -1,9 +1,10 @@
-"""Features by name, derived from the columns of the feature tables."""
+"""An index of the features that a set of tables offers."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -11,8 +12,7 @@ from pyspark.sql import types as T
 from tidemark.contracts import KEYS
 
 
-@dataclass(frozen=True)
-class FeatureRef:
+class FeatureRef(NamedTuple):
     """A feature is a column of a feature table; its name is the column's name."""
 
     name: str
@@ -20,25 +20,27 @@ class FeatureRef:
     data_type: T.DataType
 
 
-def build_catalog(tables: Mapping[str, DataFrame]) -> dict[str, FeatureRef]:
-    """Every column but the keys becomes a feature. Reads schemas only; no job runs."""
-    catalog: dict[str, FeatureRef] = {}
-    for table, df in tables.items():
-        for field in df.schema.fields:
-            if field.name in KEYS:
-                continue
-            if field.name in catalog:
-                raise ValueError(
-                    f"feature {field.name!r} exists in both {catalog[field.name].table!r} and {table!r}"
-                )
-            catalog[field.name] = FeatureRef(field.name, table, field.dataType)
-    return catalog
-
-
-def get_features(catalog: Mapping[str, FeatureRef], names: Iterable[str]) -> list[FeatureRef]:
-    """Features by name, in the order asked for."""
-    names = list(names)
-    unknown = [n for n in names if n not in catalog]
-    if unknown:
-        raise KeyError(f"unknown features {unknown}; known features: {sorted(catalog)}")
-    return [catalog[n] for n in names]
+class FeatureIndex:
+    """All columns of the tables but the keys. Only schemas are read, so no job runs."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self._owners: dict[str, list[FeatureRef]] = defaultdict(list)
+        for ref in (FeatureRef(f.name, t, f.dataType) for t, df in tables.items() for f in df.schema if f.name not in KEYS):
+            self._owners[ref.name].append(ref)
+        shared = {name: [r.table for r in refs] for name, refs in self._owners.items() if len(refs) > 1}
+        if shared:
+            listed = "; ".join(f"{name} in {', '.join(where)}" for name, where in sorted(shared.items()))
+            raise ValueError(f"columns of the same name in several tables: {listed}")
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._owners)
+
+    def __len__(self) -> int:
+        return len(self._owners)
+
+    def pick(self, names: Iterable[str]) -> list[FeatureRef]:
+        """The named features, in the order asked for."""
+        asked = tuple(names)
+        if absent := sorted(set(asked).difference(self._owners)):
+            raise KeyError(f"no such features: {', '.join(absent)} (there are {', '.join(sorted(self._owners))})")
+        return [self._owners[n][0] for n in asked]

@@ -11,7 +11,7 @@ from tidemark.contracts import ENTITY, EVENT_DATE, FEATURE_TABLES, KEYS, TABLE_C
 from tidemark.operators.asof import Dates, exact_join, point_in_time
 from tidemark.operators.grid import Axis, observation_grid
 from tidemark.operators.windows import attach
-from tidemark.plans.catalog import FeatureRef, build_catalog, get_features
+from tidemark.plans.catalog import FeatureIndex, FeatureRef
 from tidemark.plans.features import (
     ACCOUNT_ATTRIBUTES,
     DERIVED,
@@ -94,7 +94,7 @@ def training_set(
 
     ``labels`` is the stored label table if there is one; otherwise it is computed.
     """
-    features = get_features(build_catalog(tables), names)
+    features = FeatureIndex(tables).pick(names)
     axis = label_axis(sources)
     spine = login_labels(sources, axis) if labels is None else labels
     dates = axis.spine if dates is None else dates
@@ -106,18 +106,20 @@ def prediction_set(
     tables: Mapping[str, DataFrame],
     names: Sequence[str] = CHURN_FEATURES,
     *,
+    eligible: DataFrame | None = None,
     dense: bool = False,
     dates: Dates | None = None,
 ) -> DataFrame:
     """The accounts to score with the same features and no label.
 
     With ``dense`` (true of tables built on the grid) only the newest date of every feature
-    table is read.
+    table is read. ``eligible`` is the stored eligibility table if there is one; otherwise it is computed.
     """
-    features = get_features(build_catalog(tables), names)
+    features = FeatureIndex(tables).pick(names)
     dates = Axis.latest_of(sources["login"]).spine if dates is None else dates
+    spine = eligibility_prediction(sources) if eligible is None else eligible
     return assemble(
-        eligibility_prediction(sources), features, tables, unique_spine=True, dense=dense, dates=dates
+        spine, features, tables, unique_spine=True, dense=dense, dates=dates
     )
 
 
