@@ -21,7 +21,7 @@ FREQUENT = 32
 #: Most frequent hashes that are listed (9 bytes each), and bits of the table of repeated ones.
 LISTED, TABLE_BITS = 1 << 20, 27
 #: Hashes that a task gathers before it sends them.
-_WAITING = 3 << 20
+_WAITING = 1 << 20
 
 
 def pack(values: np.ndarray) -> bytes:

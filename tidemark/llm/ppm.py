@@ -221,7 +221,7 @@ def scored(docs: DataFrame, modulus: int = 7, held: int = 2, order: int = ORDER,
             n = batch.num_rows
             tokens, known, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
             r_row, r_kind, r_key, r_n = [], [], [], []
-            for i, j, data, offsets in text_slices(batch, "text", SLICE // 2):
+            for i, j, data, offsets in text_slices(batch, "text", SLICE):
                 for kind, (keys, at) in enumerate((grams(data, offsets, order), words(data, offsets))):
                     values, found = look_up(keys, *heads[kind])
                     sums = _sums(values, at)

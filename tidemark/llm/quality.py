@@ -165,7 +165,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         model = sent.value
         for batch in batches:
             out = np.empty(batch.num_rows)
-            for i, j, data, offsets in text_slices(batch, "text", SLICE // 2):
+            for i, j, data, offsets in text_slices(batch, "text", SLICE):
                 f, first = features(data, offsets, model.bits)
                 sums = np.concatenate(([0.0], np.cumsum(model.weights[f], dtype=np.float64)))
                 n = np.diff(first)

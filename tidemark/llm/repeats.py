@@ -45,7 +45,7 @@ LENGTH, WINDOW, GRAM = 400, 128, 8
 DEPTHS = (4, 12, 32)
 DEPTH = DEPTHS[-1]
 CHUNK_BYTES, RANGE_BYTES = 3 << 20, 24 << 20
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 #: No window nor the phrases around it reach further.
 _REACH = LENGTH + 2 * (WINDOW + GRAM)
 

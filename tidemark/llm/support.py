@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles; a longer document is a slice of its own.
-SLICE = 1 << 21
+SLICE = 1 << 19
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -179,6 +179,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 _powers: dict[int, np.ndarray] = {}
+#: Longest byte array whose powers are kept.
+_CACHED = 1 << 22
 
 
 def _power(base: int, n: int) -> np.ndarray:
@@ -188,7 +190,7 @@ def _power(base: int, n: int) -> np.ndarray:
         steps = np.full(max(n, SLICE) + 1, base, np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
-        if n <= 2 * SLICE:
+        if n <= _CACHED:
             _powers[base] = have
     return have
 
