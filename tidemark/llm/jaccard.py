@@ -9,13 +9,13 @@ Documents with equal sets are one node. The steps:
 2. Prefixes. Two sets that link share one of their first ``n - ceil(0.8 n) + 1`` shingles in that ranking. A prefix
    shingle used once links nothing, so only sets with repeated shingles in their prefix go on.
 3. Groups. In each of ``ROUNDS`` rounds every set is compared with one set: of the least sets of its prefix
-   shingles' lists, one that is not in its group yet. Linked sets form groups of similar documents, so a
-   large group of copies takes a comparison per set. Large groups are kept in parts of ``PART`` sets.
+   shingles' lists, one that is not in its group yet. Linked sets form groups of similar documents; sets
+   that link with their leaders take a comparison per round. Large groups are kept in parts of ``PART`` sets.
 4. Token-group matrix. A group stores the union of its members' shingles. For each shingle whose
    sets are in more than one group, sets are queries to the other groups: the overlap of the query with a group's
    union bounds that with any member, and only groups that reach ``0.8 n`` are opened, member by member.
-   Sets in the same group are already connected, so a large group of copies is never compared
-   pair by pair.
+   Sets in the same group are already connected and are not compared pair by pair. Near copies that
+   the rounds left in groups of their own are: that work grows with the square of their number.
 
 Links between groups and inside them give the components. Nothing grows on the driver but the two
 bounded tables. Sets travel as arrays of 64-bit hashes, only for documents with candidates.
