@@ -6,16 +6,19 @@ Documents with equal sets are one node. The steps:
    reports which slots are used twice or more (a bit table of fixed size) and its frequent slots. Both only
    rank shingles: once-used ones first, then rare ones, then frequent ones by frequency. Any fixed
    ranking gives exact results; this one makes frequent shingles matter only to documents made of them.
-2. Prefixes. Two sets that link share one of their first ``n - ceil(0.8 n) + 1`` shingles in that ranking. A prefix
-   shingle used once links nothing, so only sets with repeated shingles in their prefix go on.
-3. Groups. In each of ``ROUNDS`` rounds every set is compared with one set: of the least sets of its prefix
-   shingles' lists, one that is not in its group yet. Linked sets form groups of similar documents; sets
-   that link with their leaders take a comparison per round. Large groups are kept in parts of ``PART`` sets.
-4. Token-group matrix. A group stores the union of its members' shingles. For each shingle whose
-   sets are in more than one group, sets are queries to the other groups: the overlap of the query with a group's
-   union bounds that with any member, and only groups that reach ``0.8 n`` are opened, member by member.
-   Sets in the same group are already connected and are not compared pair by pair. Near copies that
-   the rounds left in groups of their own are: that work grows with the square of their number.
+2. Prefixes. Two sets that link share one of the first ``n - ceil(0.8 n) + 1`` shingles in that ranking of the larger
+   and one of the first ``n - ceil(8/9 n) + 1`` of the smaller (the larger asks, the smaller is indexed; equals may do
+   either). A prefix shingle used once links nothing, so only sets with repeated shingles in their prefix go on. What a
+   set shares with any other is at most its repeated shingles, which bounds the size of its partners (``reach``).
+3. Groups. In each of ``ROUNDS`` rounds every set is compared with up to ``CHOICES`` indexed sets that share a prefix
+   shingle and are not in its group yet: the one with the fewest shingles of its own, and the least by a hash. Linked sets
+   form groups of similar documents; near copies of one text meet in the same few sets and need no comparison with each
+   other. Large groups are kept in parts of ``PART`` sets of like size.
+4. Token-group matrix. A part of a group stores the union of its members' shingles. Sets are queries to the other groups
+   that index one of their prefix shingles: the overlap of the query with a part's union bounds that with any
+   member, and only parts that reach the overlap that their least member would need are opened, member by member.
+   Sets in the same group are already connected and are not compared pair by pair. Sets that share most of their
+   shingles and yet do not link stay in groups of their own; that work can grow with the square of their number.
 
 Links between groups and inside them give the components. Nothing grows on the driver but the two
 bounded tables. Sets travel as arrays of 64-bit hashes, only for documents with candidates.
@@ -44,7 +47,7 @@ from tidemark.llm.support import (
 N = 5
 PERCENT = 80
 PART = 32
-ROUNDS = 3
+ROUNDS, CHOICES = 2, 3
 #: Text bytes whose shingles one task counts.
 RANGE_BYTES = 24 << 20
 
@@ -91,26 +94,35 @@ def ranking(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> Ranking:
 # --- 2. prefixes ---------------------------------------------------------------------------
 
 
-def prefix(own: np.ndarray, ranking: Ranking, percent: int) -> np.ndarray:
-    """The repeated shingles among the first ones that a linking set must share one of."""
+def needed(n: int, m: int, percent: int) -> int:
+    """Common shingles from which sets of n and m shingles link."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def prefix(own: np.ndarray, ranking: Ranking, percent: int) -> tuple[np.ndarray, int, int]:
+    """The repeated shingles among the first ones that a linking set must share one of; how many of them
+    suffice for partners that are no smaller; the size of the largest set that could link."""
     n = len(own)
     size = n - -(-n * percent // 100) + 1
     rank = ranking.ranks(own)
-    if (rank == 0).sum() >= size:
-        return own[:0]
+    once = int((rank == 0).sum())
+    if once >= size:
+        return own[:0], 0, 0
     chosen = np.argsort(rank, kind="stable")[:size]
-    return own[chosen[rank[chosen] > 0]]
+    indexed = max(0, n - needed(n, n, percent) + 1 - once)
+    return own[chosen[once:]], indexed, (n - once) * (100 + percent) // percent - n
 
 
 def described(docs: DataFrame, ranking: Ranking, percent: int) -> DataFrame:
-    """A row per document (doc_id, node, n) and a row per candidate node and batch (node, n, tokens, shingles)."""
+    """A row per document (doc_id, node, n) and a row per candidate node and batch (node, n, tokens, indexed, reach,
+    shingles)."""
     sent = docs.sparkSession.sparkContext.broadcast(ranking)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranking = sent.value
         for batch in batches:
             nodes, sizes, seen = [], [], set()
-            c_node, c_size, c_tokens, c_set = [], [], [], []
+            c_node, c_size, c_tokens, c_indexed, c_reach, c_set = [], [], [], [], [], []
             for _, _, data, offsets in text_slices(batch):
                 for own in shingle_sets(data, offsets):
                     node = node_of(own)
@@ -119,11 +131,13 @@ def described(docs: DataFrame, ranking: Ranking, percent: int) -> DataFrame:
                     if node is None or node in seen:
                         continue
                     seen.add(node)
-                    tokens = prefix(own, ranking, percent)
+                    tokens, indexed, reach = prefix(own, ranking, percent)
                     if len(tokens):
                         c_node.append(node)
                         c_size.append(len(own))
                         c_tokens.append(tokens.view(np.int64))
+                        c_indexed.append(indexed)
+                        c_reach.append(reach)
                         c_set.append(own.tobytes())
             n, m = len(nodes), len(c_node)
             ids = batch.column(0)
@@ -131,12 +145,13 @@ def described(docs: DataFrame, ranking: Ranking, percent: int) -> DataFrame:
                 document=pa.array([True] * n + [False] * m),
                 doc_id=pa.concat_arrays([ids, pa.nulls(m, ids.type)]),
                 node=(nodes + c_node, pa.binary()), n=(sizes + c_size, pa.int64()),
-                tokens=([None] * n + c_tokens, pa.list_(pa.int64())), shingles=([None] * n + c_set, pa.binary()),
+                tokens=([None] * n + c_tokens, pa.list_(pa.int64())), indexed=([None] * n + c_indexed, pa.int32()),
+                reach=([None] * n + c_reach, pa.int64()), shingles=([None] * n + c_set, pa.binary()),
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"document boolean, doc_id {kind}, node binary, n long, tokens array<long>, shingles binary"
+        run, f"document boolean, doc_id {kind}, node binary, n long, tokens array<long>, indexed int, reach long, shingles binary"
     )
 
 
@@ -160,9 +175,9 @@ def _overlaps(batch: pa.RecordBatch, left: str, right: str) -> np.ndarray:
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the similarity."""
-    near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    one = sets.select(F.col("node").alias("a"), "n", F.col("shingles").alias("s"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("shingles").alias("t"))
+    near = f"100 * least(n, m) >= {percent} * greatest(n, m) AND m <= reach AND n <= reach_m"
+    one = sets.select(F.col("node").alias("a"), "n", "reach", F.col("shingles").alias("s"))
+    two = sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("reach").alias("reach_m"), F.col("shingles").alias("t"))
     rows = pairs.join(one, "a").join(two, "b").where(near).select("a", "b", "n", "m", "s", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,54 +190,72 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def group_links(prefixes: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Links between nodes of different groups, through the token-group matrix.
+def placed(prefixes: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """``prefixes`` with the root of each node's group."""
+    if groups is None:
+        return prefixes.withColumn("root", F.col("node"))
+    return prefixes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def stars(prefixes: DataFrame, turn: int) -> DataFrame:
+    """Up to ``CHOICES`` sets of other groups that each set (of ``placed`` prefixes) is compared with: (a, b)."""
+    names = [f"x{k}" for k in range(CHOICES)]
 
-    ``prefixes(token, node)``, ``groups(node, root)`` for nodes whose group has another root.
-    """
-    placed = prefixes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    shared = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-    matrix = stored(placed.join(shared, "token").select("token", "node", "root"), "token-group-matrix")
-    # Part of a group: its members' sets in bounded portions.
-    members = matrix.select("node", "root").distinct().join(sets, "node")
-    counts = members.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    members = members.join(counts, "root").withColumn(
+    def order(k: int):
+        own = F.col("n") / F.col("reach") if k == 0 else F.lit(0.0)
+        return F.struct(own.alias("own"), F.xxhash64("node", F.lit(turn * CHOICES + k)).alias("h"), F.col("node").alias("b"), F.col("root").alias("q"))
+
+    lead = prefixes.where("indexed").groupBy("token").agg(*[F.min(order(k)).alias(x) for k, x in enumerate(names)])
+    picked = prefixes.select("token", "node", "root").join(lead, "token").groupBy("node").agg(
+        *[F.min(F.when(F.col(f"{x}.q") != F.col("root"), F.col(x))).alias(x) for x in names]
+    )
+    return picked.select(F.col("node").alias("a"), F.explode(F.array(*[F.col(f"{x}.b") for x in names])).alias("b")).where("b IS NOT NULL").distinct()
+
+
+def group_links(matrix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of different groups, through the token-group matrix: ``placed`` prefixes."""
+    targets = matrix.where("indexed").groupBy("token", F.col("root").alias("g")).agg(F.min("n").alias("least"))
+    # Which groups a set asks: those that index one of its prefix shingles for a set that is no larger.
+    several = targets.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
+    askers = matrix.join(several, "token").where("lo < hi OR lo <> root").select("token", F.col("node").alias("a"), "n", "root")
+    asks = askers.join(targets, "token").where("g <> root AND (n > least OR n = least AND g < root)").select("a", "g").distinct()
+    asks = stored(asks, "asks")
+    # Part of a group that is asked: its indexed members' sets, those of like size together, in bounded portions.
+    members = matrix.where("indexed").select("node", "root").distinct().join(asks.select(F.col("g").alias("root")).distinct(), "root")
+    members = members.join(sets, "node")
+    counts = members.groupBy("root", "n").agg(F.count(F.lit(1)).alias("members"))
+    members = members.join(counts, ["root", "n"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / PART)).cast("int")
     )
-    members = stored(members.select("root", "part", "node", "n", "shingles"), "group-members")
+    members = stored(members.select("root", "part", "node", "n", "reach", "shingles"), "group-members")
 
     def unite(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        union, least, most = np.zeros(0, np.uint64), None, 0
+        union, reach = np.zeros(0, np.uint64), 0
         for batch in batches:
             data, _ = column_bytes(batch.column(batch.schema.get_field_index("shingles")))
             union = distinct(np.concatenate((union, np.frombuffer(data.tobytes(), np.uint64))))
-            n = batch.column(batch.schema.get_field_index("n")).to_numpy()
-            least, most = min(n.min(), least or n.min()), max(n.max(), most)
-        yield arrow_rows(root=([key[0].as_py()], pa.binary()), part=([key[1].as_py()], pa.int32()),
-                         least=([int(least)], pa.int64()), most=([int(most)], pa.int64()), tokens=([union.tobytes()], pa.binary()))
+            reach = max(reach, batch.column(batch.schema.get_field_index("reach")).to_numpy().max())
+        yield arrow_rows(root=([key[0].as_py()], pa.binary()), m=([key[1].as_py()], pa.int64()), part=([key[2].as_py()], pa.int32()),
+                         reach_m=([int(reach)], pa.int64()), tokens=([union.tobytes()], pa.binary()))
 
-    unions = members.groupBy("root", "part").applyInArrow(
-        grouped(unite), "root binary, part int, least long, most long, tokens binary"
+    unions = members.groupBy("root", "n", "part").applyInArrow(
+        grouped(unite), "root binary, m long, part int, reach_m long, tokens binary"
     )
     unions = stored(unions, "group-unions")
-    # Which groups a set asks: those that share a prefix shingle with it and come before its own.
-    distinct_groups = matrix.select("token", F.col("root").alias("g")).distinct()
-    asks = (
-        matrix.join(distinct_groups, "token").where("g < root").select(F.col("node").alias("a"), "g").distinct()
-    )
-    queries = asks.join(sets.select(F.col("node").alias("a"), "n", F.col("shingles").alias("s")), "a")
+    queries = asks.join(sets.select(F.col("node").alias("a"), "n", "reach", F.col("shingles").alias("s")), "a")
     bounded = queries.join(unions.withColumnRenamed("root", "g"), "g").where(
-        f"100 * least(n, most) >= {percent} * greatest(n, least)"
-    ).select("a", "n", "g", "part", "s", "tokens")
+        f"m <= n AND 100 * m >= {percent} * n AND m <= reach AND n <= reach_m"
+    ).select("a", "n", "g", "m", "part", "s", "tokens")
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = pa.array(100 * _overlaps(batch, "s", "tokens") >= percent * batch.column(1).to_numpy())
-            yield batch.select(["a", "g", "part"]).filter(ok)
+            both, n, m = _overlaps(batch, "s", "tokens"), batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            ok = pa.array((100 + percent) * both >= percent * (n + m))
+            yield batch.select(["a", "g", "m", "part"]).filter(ok)
 
-    opened = stored(bounded.mapInArrow(bound, "a binary, g binary, part int"), "opened-groups")
-    pairs = opened.join(members.select(F.col("root").alias("g"), "part", F.col("node").alias("b")), ["g", "part"]).select("a", "b")
-    return linked(pairs, sets, percent)
+    opened = stored(bounded.mapInArrow(bound, "a binary, g binary, m long, part int"), "opened-parts")
+    inside = members.select(F.col("root").alias("g"), F.col("n").alias("m"), "part", F.col("node").alias("b"))
+    return linked(opened.join(inside, ["g", "m", "part"]).select("a", "b"), sets, percent)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -232,35 +265,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = stored(described(docs, ranks, percent), "described")
     nodes = rows.where("document").groupBy("node").agg(F.min("doc_id").alias("least"))
     candidates = rows.where("NOT document")
-    sets = stored(candidates.groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "sets")
-    prefixes = stored(candidates.select("node", F.explode("tokens").alias("token")).distinct(), "prefixes")
-    leaders = prefixes.groupBy("token").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    options = stored(prefixes.join(leaders, "token").where("node <> b").select("node", "b").distinct(), "leaders")
-    links, groups, tried = None, None, None
+    first = [F.first(c).alias(c) for c in ("n", "reach", "shingles")]
+    sets = stored(candidates.groupBy("node").agg(*first), "sets")
+    tokens = candidates.select("node", "n", "reach", "indexed", F.posexplode("tokens").alias("at", "token")).select(
+        "token", "node", "n", "reach", (F.col("at") < F.col("indexed")).alias("indexed")
+    )
+    # Copies in several batches are repeated rows here; a shingle counts if it is indexed and used by two sets.
+    used = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("indexed").alias("any")).where("any AND lo < hi")
+    prefixes = stored(tokens.join(used.select("token"), "token", "left_semi").distinct(), "prefixes")
+    links, groups = None, None
     for turn in range(ROUNDS):
-        left = options
-        if groups is not None:
-            own = groups.select("node", F.col("root").alias("r"))
-            other = groups.select(F.col("node").alias("b"), F.col("root").alias("q"))
-            left = options.join(own, "node", "left").join(other, "b", "left")
-            left = left.where(F.coalesce("r", "node") != F.coalesce("q", "b")).select("node", "b")
-            left = left.join(tried, ["node", "b"], "left_anti")
-        pick = F.min(F.struct(F.xxhash64("b", F.lit(turn)).alias("h"), "b")) if turn else F.min(F.struct("b"))
-        stars = stored(left.groupBy("node").agg(pick.alias("x")).select("node", F.col("x.b").alias("b")), "stars")
-        if turn and not stars.take(1):
+        found = stored(linked(stars(placed(prefixes, groups), turn), sets, percent), "star-links")
+        if turn and not found.take(1):
             break
-        tried = stars if tried is None else tried.unionAll(stars)
-        found = stored(linked(stars.withColumnRenamed("node", "a"), sets, percent), "star-links")
         links = found if links is None else links.unionAll(found)
         groups = components(links)
-    inside = links
-    shared = prefixes.join(leaders.select("token"), "token", "left_semi")
-    across = stored(group_links(shared, sets, groups, percent), "group-links")
-    roots = components(inside.unionAll(across)) if across.take(1) else groups
+    matrix = stored(placed(prefixes, groups), "token-group-matrix")
+    across = stored(group_links(matrix, sets, percent), "group-links")
+    roots = components(links.unionAll(across)) if across.take(1) else groups
     # From nodes to documents: the least id of a component's nodes.
-    placed = nodes.where("node IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component"))
-    named = placed.join(least, "root").select("node", "component")
+    members = nodes.where("node IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = members.groupBy("root").agg(F.min("least").alias("component"))
+    named = members.join(least, "root").select("node", "component")
     return rows.where("document").join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
