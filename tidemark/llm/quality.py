@@ -133,7 +133,8 @@ def gathered(rows: DataFrame, train) -> list:
         for name, value in train(texts, np.array([m for _, _, m in found], np.float64)).items():
             yield arrow_rows(name=([name], pa.string()), value=([value], pa.binary()))
 
-    return rows.coalesce(1).mapInArrow(run, "name string, value binary").collect()
+    # An exchange between the scan of the documents and the one task that fits: only the sample moves.
+    return rows.repartition(1).mapInArrow(run, "name string, value binary").collect()
 
 
 def train(docs: DataFrame, labels: DataFrame, where=None, bits: int = 20, rows: int = FIT_ROWS) -> Model:

@@ -163,8 +163,6 @@ def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.
 # --- hashes --------------------------------------------------------------------------------
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -177,38 +175,82 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+#: The prime 2**31 - 1, and two bases in its field: sums modulo a power of two would have equal
+#: hashes for long words of two letters, whatever the base.
+_PRIME, _BITS31 = np.uint64((1 << 31) - 1), np.uint64(31)
+_BASES = (1_527_834_371, 996_743_023)
+#: A value below the prime for each byte.
+_BYTES = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % (_PRIME - np.uint64(1))) + np.uint64(1)
 _powers: dict[int, np.ndarray] = {}
 #: Longest byte array whose powers are kept.
 _CACHED = 1 << 22
+#: Entries that one step of the hashing works on.
+_BLOCK = 1 << 14
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Values below 2**63 modulo the prime, exactly; ``x`` is used up."""
+    for _ in range(2):
+        high = x >> _BITS31
+        x &= _PRIME
+        x += high
+    # What is left is at most the prime and two more.
+    high = x + np.uint64(1)
+    high >>= _BITS31
+    x += high
+    x &= _PRIME
+    return x
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo 2**64."""
+    """base**0 .. base**n modulo the prime."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
-        steps = np.full(max(n, SLICE) + 1, base, np.uint64)
-        steps[0] = 1
-        have = np.cumprod(steps, dtype=np.uint64)
+        have = np.ones(max(n, SLICE) + 1, np.uint64)
+        done, step = 1, base
+        while done < len(have):  # the first powers give as many more
+            more = min(done, len(have) - done)
+            have[done : done + more] = _reduced(have[:more] * np.uint64(step))
+            done, step = done + more, step * step % int(_PRIME)
         if n <= _CACHED:
             _powers[base] = have
     return have
 
 
 class Rolling:
-    """Polynomial hashes of any byte range, from prefix sums modulo 2**64."""
+    """Polynomial hashes of any byte range: prefix sums in the field of 2**31 - 1, for two bases.
+
+    Two different ranges of n bytes collide with a probability of about (n / 2**31)**2 over the bases.
+    """
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        self.inverse = _power(_INVERSE, n)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTES[data] * _power(_BASE, n)[:n], out=self.sums[1:])
+        tables = [(np.empty(n + 1, np.uint64), _power(base, n), _power(pow(base, -1, int(_PRIME)), n)) for base in _BASES]
+        high = np.empty(min(_BLOCK, n), np.uint64)
+        for sums, _, _ in tables:
+            sums[0] = 0
+        for i in range(0, n, _BLOCK):  # blocks that stay in the processor's cache
+            values = _BYTES[data[i : i + _BLOCK]]
+            for sums, powers, _ in tables:
+                terms, h = sums[i + 1 : i + 1 + len(values)], high[: len(values)]
+                np.multiply(values, powers[i : i + len(values)], out=terms)
+                np.right_shift(terms, _BITS31, out=h)
+                np.bitwise_and(terms, _PRIME, out=terms)
+                np.add(terms, h, out=terms)  # below 2**32: the sum of 2**31 of them fits
+                terms[0] += sums[i]
+                np.cumsum(terms, out=terms)
+        self.parts = [(sums, inverse) for sums, _, inverse in tables]
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        h = self.sums[ends] - self.sums[starts]
-        h *= self.inverse[starts]
-        h += (ends - starts).astype(np.uint64)
-        return mix(h)
+        out = np.empty(len(starts), np.uint64)
+        for i in range(0, len(starts), _BLOCK):
+            s, e = starts[i : i + _BLOCK], ends[i : i + _BLOCK]
+            h, low = (_reduced(_reduced(sums[e] - sums[s]) * inverse[s]) for sums, inverse in self.parts)
+            h <<= _BITS31
+            h |= low
+            h += (e - s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            out[i : i + _BLOCK] = mix(h)
+        return out
 
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
