@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    decontaminate, fingerprint, jaccard, lines, packing, ppm, quality, repeats, toxicity, warc,
+    decontaminate, fingerprint, jaccard, lines, packing, phrases, ppm, quality, repeats, search, spelling, toxicity, warc,
 )
 
 
@@ -55,6 +55,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.drop_phrases(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_repeats": op2_repeats,
@@ -66,6 +78,13 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_phrase_dedup": op12_phrase_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 
-ORACLE_SQL = {"op1_line_dedup": lines.oracle_sql()}
+ORACLE_SQL = {
+    "op1_line_dedup": lines.oracle_sql(),
+    "op12_phrase_dedup": phrases.oracle_sql(),
+    "op13_ranked_search": search.oracle_sql(),
+}
