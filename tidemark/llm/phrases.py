@@ -40,8 +40,8 @@ from tidemark.llm.support import NOT_SPACE, Rolling, arrow_rows, column_bytes, f
 
 N, K = 35, 6
 #: Stretches of a phrase from which it has shards of its own, and stretches of a shard.
-HOT, SHARD = 4_000, 4_000
-#: Slots of the table that tells texts with marks from others.
+HOT, SHARD = 2_000, 2_000
+#: Bits of the table that tells texts with marks from others.
 SLOTS = 1 << 22
 
 
@@ -112,18 +112,31 @@ def marks(rows: DataFrame, hot: int = HOT) -> tuple[DataFrame, int]:
     return marked, total
 
 
-def slot(key: str = "key") -> Column:
-    return F.pmod(key, F.lit(SLOTS))
+def slots(names: DataFrame) -> np.ndarray:
+    """Which of ``SLOTS`` slots the keys of the given texts fall into: a table of fixed size for the tasks."""
+    used = np.zeros(SLOTS, bool)
+    found = names.select(F.pmod("key", F.lit(SLOTS)).cast("int").alias("slot")).distinct().toArrow()
+    used[found.column(0).to_numpy()] = True
+    return used
 
 
-def slots(names: DataFrame) -> DataFrame:
-    """The slots that the given texts use: at most ``SLOTS`` rows, small enough to send."""
-    return F.broadcast(names.select(slot().alias("slot")).distinct())
+def maybe(rows: DataFrame, used: np.ndarray) -> DataFrame:
+    """The rows whose text may be one of those that ``used`` was made from, and some others."""
+    sent = rows.sparkSession.sparkContext.broadcast(np.packbits(used))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(sent.value).astype(bool)
+        at = rows_schema.index("key")
+        for batch in batches:
+            yield batch.filter(pa.array(table[batch.column(at).to_numpy() % SLOTS]))
+
+    rows_schema = rows.columns
+    return rows.mapInArrow(run, rows.schema)
 
 
 def regions(rows: DataFrame, marked: DataFrame, shards: int) -> DataFrame:
     """The words of every candidate stretch: part, salt, key, size, start, words. One text of each name is read."""
-    near = rows.join(slots(marked), slot() == F.col("slot"), "left_semi")
+    near = maybe(rows.select("key", "size", "text"), slots(marked))
     texts = near.groupBy("key", "size").agg(F.first("text").alias("text")).join(marked, ["key", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,6 +250,7 @@ def spots_of(found: DataFrame, reported: DataFrame) -> DataFrame:
 def without(rows: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (text) of ``rows(doc_id, text, copied, spans)``."""
     kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = rows.select("doc_id", "text", "copied", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,9 +282,7 @@ def without(rows: DataFrame) -> DataFrame:
                 kept_sha256=([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), kept=(kept, pa.binary()),
             )
 
-    out = rows.select("doc_id", "text", "copied", "spans").mapInArrow(
-        run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept binary"
-    )
+    out = rows.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept binary")
     return out.withColumn("kept", F.col("kept").cast("string"))
 
 
@@ -287,8 +299,9 @@ def drop_phrases(docs: DataFrame, hot: int = HOT, shard: int = SHARD) -> DataFra
     names = stored(
         found.join(copies, ["key", "size"], "full").select("key", "size", F.col("n").isNotNull().alias("copied"), "spans"), "names"
     )
-    touched = rows.join(slots(names), slot() == F.col("slot"), "left_semi").join(names, ["key", "size"], "left")
-    others = rows.join(slots(names), slot() == F.col("slot"), "left_anti")
+    used = slots(names)
+    touched = maybe(rows, used).join(names, ["key", "size"], "left")
+    others = maybe(rows, ~used)
     columns = ["doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "spans"]
     none = F.lit(None).cast(names.schema["spans"].dataType).alias("spans")
     return without(touched.select(*columns)).unionAll(without(others.select("doc_id", "text", F.lit(False).alias("copied"), none)))
