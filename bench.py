@@ -23,9 +23,7 @@ from tidemark.maintain import FeatureStore, restatement_dates  # noqa: E402
 from tidemark.operators.grid import Axis  # noqa: E402
 from tidemark.plans.datasets import (  # noqa: E402
     feature_tables,
-    prediction_set,
     prediction_set_from_logs,
-    training_set,
     training_set_from_logs,
     wide_features,
 )
@@ -94,11 +92,10 @@ def main() -> None:
     started = time.perf_counter()
     store.publish()
     seconds["publish_all_tables"] = round(time.perf_counter() - started, 3)
-    stored = store.tables()
-    seconds["training_set_from_stored"] = measure(lambda: training_set(sources, stored))
+    seconds["training_set_from_stored"] = measure(lambda: store.training_set(dense=False))
     seconds["training_set_from_stored_dense"] = measure(store.training_set)
     seconds["prediction_set_from_stored_dense"] = measure(store.prediction_set)
-    seconds["prediction_set_from_stored"] = measure(lambda: prediction_set(sources, stored))
+    seconds["prediction_set_from_stored"] = measure(lambda: store.prediction_set(dense=False))
     started = time.perf_counter()
     store.refresh({"battle": dates})
     seconds["refresh_battle_3_dates"] = round(time.perf_counter() - started, 3)

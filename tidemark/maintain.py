@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from bisect import bisect_left
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from uuid import uuid4
 
@@ -17,19 +18,32 @@ from tidemark.contracts import (
     FEATURE_TABLES,
     LOG_TIMESTAMP,
     OBSERVED,
+    SOURCE_COLUMNS,
     SOURCE_DATE,
     schema_of,
 )
-from tidemark.operators.grid import Axis, date_spine
+from tidemark.manifest import Manifest
+from tidemark.operators.grid import Axis
 from tidemark.operators.sequence import attach_state, latest_per_key
 from tidemark.operators.windows import reach
 from tidemark.plans.datasets import CHURN_FEATURES, prediction_set, training_set
-from tidemark.plans.features import DERIVED, DERIVED_REACH, WINDOW_TABLES, build_table
+from tidemark.plans.catalog import FeatureIndex
+from tidemark.plans.features import (
+    DERIVED,
+    DERIVED_REACH,
+    WINDOW_TABLES,
+    Carry,
+    build_table,
+    enriched_with_parts,
+)
 from tidemark.plans.labels import ACTIVE_DAYS, LABEL_DAYS, eligibility_prediction
+from tidemark.quality import REPORT_SCHEMA, UNIQUE_CHECK, Counted, write_checked
+from tidemark.sources.files import discard, names_in, shared_folder, stored_dates
 from tidemark.sources.tables import (
     Sources,
     append,
     clear_dates,
+    inline_dates,
     overwrite,
     read_table,
     replace_dates,
@@ -39,22 +53,6 @@ from tidemark.sources.tables import (
 DAY = dt.timedelta(days=1)
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder for intermediate tables, under the checkpoint folder the session names.
-
-    Where none is named, the session's warehouse folder, which executors share as well.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
-    return f"{base.rstrip('/')}/{purpose}-{uuid4().hex}"
-
-
-def discard(spark: SparkSession, folder: str) -> None:
-    """Delete a staging folder that ``shared_folder`` named."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 # --- dates ------------------------------------------------------------------------------
 
 
@@ -218,20 +216,48 @@ def affected_dates(table: str, changed: Iterable[dt.date], spine: Iterable[dt.da
     return hit
 
 
+#: Accounts that one task of a write holds on one date.
+ACCOUNTS_A_TASK = 2_000_000
+# What a publishing run counted, as kept in the store.
+LOG_COLUMNS = "run STRING, version INT, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in REPORT_SCHEMA)
+
+
+class Done(dict):
+    """Observation dates rewritten per table, and what the checks of those writes counted."""
+
+    def __init__(self):
+        super().__init__()
+        self.checks: list[Counted] = []
+
+
 class FeatureStore:
     """Source and feature tables under one folder, laid out by date.
 
-    ``sources/<name>`` holds the source tables, ``features/<name>`` the published ones.
+    ``sources/<name>`` holds the source tables, ``features/<name>`` the published ones, ``manifest`` what each of them was
+    built from, ``quality`` the counts of every write's checks and ``state`` small tables that appends keep
+    up, so that daily jobs need no history. One run at a time may change a store; a second one that does is refused when
+    it stores its manifest. Source tables are changed through the store (``append_day``, ``restate_dates``) or, if changed
+    otherwise, by naming the dates or accounts to ``refresh``.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.source_root = f"{self.root}/sources"
+        self._buckets = buckets
+
+    # --- reading ----------------------------------------------------------------------------
 
     def path(self, table: str) -> str:
         return f"{self.root}/features/{table}"
 
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest.read(self.spark, f"{self.root}/manifest")
+
+    def _commit(self, manifest: Manifest) -> Manifest:
+        return manifest.write(self.spark, f"{self.root}/manifest")
+
     def sources(self) -> Sources:
         return Sources.from_parquet(self.spark, self.source_root)
 
@@ -244,94 +270,319 @@ class FeatureStore:
         return read_table(self.spark, self.path(name))
 
     def tables(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in FEATURE_TABLES}
+        """The feature tables that have been published."""
+        published = self.manifest.tables
+        return {name: self.table(name) for name in FEATURE_TABLES if name in published}
 
-    def training_set(self, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:
-        """The training set from the stored tables. They share the label's grid, so equi joins do."""
-        labels = self.table("label_login_7d")
-        seen = _observable(_dates(self.table("date_spine")))
-        dates = (seen[0], seen[-1]) if seen else None
-        return training_set(self.sources(), self.tables(), names, labels=labels, dense=True, dates=dates)
+    def quality_log(self) -> DataFrame:
+        """One row per run, table and check: what each write counted."""
+        return self.spark.read.schema(LOG_COLUMNS).parquet(f"{self.root}/quality")
 
-    def prediction_set(self, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:
+    def _unique(self, manifest: Manifest) -> list[str]:
+        """Tables whose writes saw no key twice."""
+        return [name for name, built in manifest.tables.items() if not built.repeated]
+
+    def training_set(self, names: Sequence[str] = CHURN_FEATURES, dense: bool = True) -> DataFrame:
+        """The training set from the stored tables. They share the label's grid, so equi joins do (``dense``); the
+        general as-of join gives the same rows.
+
+        It is an error if a table in use lacks a date of the label or has changes to take in there.
+        """
+        manifest, tables = self.manifest, self.tables()
+        labels = manifest.tables["label_login_7d"].dates
+        self._require(manifest, ["label_login_7d", *self._homes(tables, names)], labels)
+        dates = (labels[0], labels[-1]) if labels else None
+        return training_set(
+            self.sources(), tables, names, labels=self.table("label_login_7d"), dense=dense, dates=dates,
+            unique=self._unique(manifest),
+        )
+
+    def prediction_set(self, names: Sequence[str] = CHURN_FEATURES, dense: bool = True) -> DataFrame:
         """The scoring set from the stored tables, reading one date of each.
 
-        Accounts and features are those of the last ``publish`` or ``refresh``. If the login log has newer
-        dates by now, that is an error: the stored features say nothing about them.
+        It is an error if a table in use, or the list of accounts to score, was not built for the newest login
+        date or has changes to take in there: other tables may be in any state.
         """
-        spine = _dates(self.table("date_spine"))
-        newest = self.sources()["login"].agg(F.max(EVENT_DATE)).first()[0]
-        if (spine[-1] if spine else None) != newest:
-            raise RuntimeError(f"stored features end on {spine[-1] if spine else None}, logins on {newest}; call refresh first")
-        dates = (spine[-1], spine[-1]) if spine else None
+        manifest, tables = self.manifest, self.tables()
+        newest = self._spine()[-1:]
+        used = self._homes(tables, names)
+        self._require(manifest, [*used, "eligibility_prediction"], newest)
+        dates = (newest[0], newest[0]) if newest else None
         eligible = self.table("eligibility_prediction")
-        return prediction_set(self.sources(), self.tables(), names, eligible=eligible, dense=True, dates=dates)
+        return prediction_set(
+            self.sources(), tables, names, eligible=eligible, dense=dense, dates=dates, unique=self._unique(manifest)
+        )
+
+    @staticmethod
+    def _homes(tables: Mapping[str, DataFrame], names: Sequence[str]) -> list[str]:
+        return list(dict.fromkeys(ref.table for ref in FeatureIndex(tables).pick(names)))
+
+    def _require(self, manifest: Manifest, names: Iterable[str], dates: Sequence[dt.date]) -> None:
+        """An error naming the tables that do not say the truth about ``dates``."""
+        behind = [n for n in names if self._behind(manifest, n, dates)]
+        if behind:
+            raise RuntimeError(f"{', '.join(behind)} not current for {dates[-1]}; call refresh first")
+
+    def _behind(self, manifest: Manifest, name: str, dates: Sequence[dt.date]) -> bool:
+        built = manifest.tables.get(name)
+        if not dates:
+            return False
+        if built is None or not set(dates) <= set(built.dates) or manifest.pending(name, "account"):
+            return True
+        if name == "eligibility_prediction":
+            return any(d >= built.dates[-1] - ACTIVE_DAYS * DAY for c in manifest.pending(name, "login") for d in c.dates)
+        touched = [d for c in manifest.pending(name, PUBLISHED[name]) for d in c.dates]
+        return bool(affected_dates(name, touched, dates))
+
+    def _spine(self) -> list[dt.date]:
+        """The dates of the login log: its folders, at most one per calendar day. No job, no footers."""
+        return stored_dates(self.spark, f"{self.source_root}/login", EVENT_DATE)
+
+    # --- source tables ----------------------------------------------------------------------
 
     def load(self, sources: Sources) -> None:
+        """Store the source tables. Whatever had been published before counts as never built."""
         write_sources(sources, self.source_root)
+        folder = self._stored_state(self.sources()["membership"])
+        newest = {name: d[-1] for name in SOURCE_DATE if (d := stored_dates(self.spark, f"{self.source_root}/{name}", SOURCE_DATE[name]))}
+        before = self.manifest
+        self._commit(Manifest(before.version, before.changed, newest=newest, folders={"membership": folder}))
+        self._discard_state(before, {"membership": folder})
+
+    def append_day(self, batches: Mapping[str, DataFrame], day: dt.date) -> None:
+        """Add one day to the stored logs and remember it for the next ``refresh``.
 
-    def publish(self, names: Iterable[str] = tuple(PUBLISHED)) -> None:
-        """Build and store the named tables over the whole spine."""
-        sources = self.sources()
-        self._check(names)
+        The change is listed before the rows are written: a run that fails midway can be repeated, and a refresh in between
+        recomputes something in vain at worst. Derived state follows last.
+        """
+        manifest = self._commit(self.manifest.with_changes({name: [day] for name in batches}))
+        append_day(self.source_root, batches, day)
+        newest = {**manifest.newest, **{n: max(day, manifest.newest.get(n, day)) for n in batches}}
+        folders = dict(manifest.folders)
+        if "membership" in batches:
+            new = read_table(self.spark, f"{self.source_root}/membership", SOURCE_COLUMNS["membership"])
+            both = self._state(manifest, "membership").unionByName(
+                new.where(F.col("date") == F.lit(day)).select(ENTITY, "date", "is_clan_member")
+            )
+            folders["membership"] = self._stored_state(both)
+        self._commit(replace(manifest, newest=newest, folders=folders))
+        self._discard_state(manifest, folders)
+
+    def restate_dates(self, replacements: Mapping[str, DataFrame], dates: Iterable[dt.date]) -> None:
+        """Replace all rows of ``dates`` in each stored log and remember them for the next ``refresh``."""
+        days = sorted(set(dates))
+        manifest = self._commit(self.manifest.with_changes(dict.fromkeys(replacements, days)))
+        restate_dates(self.source_root, replacements, days)
+        newest = dict(manifest.newest)
+        for name in replacements:  # its last date may be new, or gone
+            newest.pop(name, None)
+            if left := stored_dates(self.spark, f"{self.source_root}/{name}", SOURCE_DATE[name]):
+                newest[name] = left[-1]
+        self._commit(replace(manifest, newest=newest))
+
+    def next_day(self) -> dt.date:
+        """The day after the newest login date, from the manifest: nothing is read."""
+        if "login" not in (newest := self.manifest.newest):
+            raise RuntimeError("no dated rows to derive the next batch date from")
+        return newest["login"] + DAY
+
+    def carried_snapshot(self, day: dt.date) -> DataFrame:
+        """The snapshot of a new day from each account's last known value, which appends keep: no history is read."""
+        return carry_forward_snapshot(self._state(self.manifest, "membership"), self.sources()["account"], day)
+
+    def _state(self, manifest: Manifest, name: str) -> DataFrame:
+        return self.spark.read.schema("account_id BIGINT, date DATE, is_clan_member BOOLEAN").parquet(manifest.folders[name])
+
+    def _stored_state(self, snapshot: DataFrame) -> str:
+        """Each account's last value, in a folder of its own."""
+        folder = f"{self.root}/state/membership-{uuid4().hex}"
+        latest = latest_per_key(snapshot.where(F.col("date").isNotNull()), ENTITY, "date", ["is_clan_member"])
+        overwrite(latest.select(ENTITY, "date", "is_clan_member"), folder)
+        return folder
+
+    def _discard_state(self, before: Manifest, folders: Mapping[str, str]) -> None:
+        """Delete state that is neither current nor the one before, which plans made earlier may still read."""
+        keep = {f.rsplit("/", 1)[-1] for f in [*folders.values(), *before.folders.values()]}
+        for name in set(names_in(self.spark, f"{self.root}/state")) - keep:
+            discard(self.spark, f"{self.root}/state/{name}")
+
+    # --- published tables -------------------------------------------------------------------
+
+    @property
+    def buckets(self) -> int:
+        """Parts that the accounts of one date are written in."""
+        if self._buckets is None:
+            self._buckets = max(1, -(-self.sources()["account"].count() // ACCOUNTS_A_TASK))
+        return self._buckets
+
+    def publish(self, names: Iterable[str] = tuple(PUBLISHED)) -> list[Counted]:
+        """Build and store the named tables over the whole spine. Returns, and keeps, what their checks counted."""
+        names = self._check(names)
+        sources, spine, manifest = self.sources(), self._spine(), self.manifest
+        counted: list[Counted] = []
         for name in names:
-            overwrite(build_table(sources, name), self.path(name), OBSERVED)
-        overwrite(eligibility_prediction(sources), self.path("eligibility_prediction"))
-        overwrite(date_spine(sources["login"]), self.path("date_spine"))
+            new = self._whole(sources, name)
+            manifest = self._commit(manifest.with_table(name, self._dates_of(name, spine), _repeated(name, new)))
+            counted += new
+        manifest = self._lists(sources, spine, manifest)
+        self._log(manifest, counted)
+        return counted
 
     @staticmethod
-    def _check(names: Iterable[str]) -> None:
+    def _check(names: Iterable[str]) -> list[str]:
+        names = list(dict.fromkeys(names))
         unknown = sorted(set(names) - set(PUBLISHED))
         if unknown:
             raise KeyError(f"unknown tables {unknown}; known tables: {sorted(PUBLISHED)}")
+        return names
+
+    @staticmethod
+    def _dates_of(name: str, spine: Sequence[dt.date]) -> list[dt.date]:
+        return _observable(spine) if name == "label_login_7d" else list(spine)
+
+    def _whole(self, sources: Sources, name: str) -> list[Counted]:
+        rows, also = self._built(sources, name)
+        return write_checked(rows, name, self.path(name), buckets=self.buckets, also=also)
+
+    @staticmethod
+    def _built(sources: Sources, name: str, axis: Axis | None = None, carry: Carry | None = None):
+        """A table's rows, and the names of tables that are functions of the same row and checked with it."""
+        if name == "purchase_enriched":
+            return enriched_with_parts(sources, axis), ("spender_tier", "purchase_velocity")
+        return build_table(sources, name, axis, carry), ()
+
+    def _lists(self, sources: Sources, spine: Sequence[dt.date], manifest: Manifest) -> Manifest:
+        """Store the accounts to score and the spine."""
+        overwrite(eligibility_prediction(sources), self.path("eligibility_prediction"))
+        overwrite(inline_dates(self.spark, spine, OBSERVED), self.path("date_spine"))
+        return self._commit(manifest.with_table("eligibility_prediction", spine[-1:]).with_table("date_spine", spine))
+
+    def _log(self, manifest: Manifest, counted: Sequence[Counted]) -> None:
+        if counted:
+            run = uuid4().hex
+            rows = [(run, manifest.version, *c) for c in counted]
+            append(self.spark.createDataFrame(rows, LOG_COLUMNS).coalesce(1), f"{self.root}/quality")
 
     def refresh(
         self,
-        changed: Mapping[str, Iterable[dt.date]],
+        changed: Mapping[str, Iterable[dt.date]] | None = None,
         accounts_changed: bool = False,
         names: Iterable[str] = tuple(PUBLISHED),
-    ) -> dict[str, list[dt.date]]:
-        """Recompute only what a change of source dates can affect.
-
-        ``changed`` maps source tables to the dates on which they gained, lost or changed rows.
-        Returns the observation dates rewritten per table; nothing is written where nothing
-        changed. The stored spine is replaced last, so a run that fails midway can be repeated.
+        accounts: DataFrame | Iterable[int] | None = None,
+    ) -> Done:
+        """Recompute only what changes of the source tables can affect.
+
+        ``changed`` maps source tables to dates on which they gained, lost or changed rows, in addition to those that the
+        store knows of; ``accounts`` are the ids of new, changed or removed accounts. Both stay listed until each table
+        has taken them in, so refreshing some tables now and the others later, in any order, ends in the same tables as
+        refreshing all at once. ``accounts_changed`` rebuilds the named tables whole. Returns the
+        observation dates rewritten per table, and the counts of the checks; nothing is written where nothing changed.
+        Every table is entered in the manifest after it has been written: a run that fails midway can be repeated.
         """
-        self._check(names)
-        sources = self.sources()
-        if strange := sorted(set(changed) - set(SOURCE_DATE)):
+        names = self._check(names)
+        if strange := sorted(set(changed or ()) - set(SOURCE_DATE)):
             raise KeyError(f"not dated source tables: {strange}; known ones: {sorted(SOURCE_DATE)}")
-        # Dates on the driver: at most one per calendar day.
-        before = _dates(self.table("date_spine"))
-        after = _dates(date_spine(sources["login"]))
-        done: dict[str, list[dt.date]] = {}
+        manifest = self.manifest
+        if changed or accounts is not None:
+            listed = None if accounts is None else self._stored_ids(accounts)
+            manifest = self._commit(manifest.with_changes(changed or {}, listed))
+        sources, spine = self.sources(), self._spine()
+        done, stored_as = Done(), manifest
         for name in names:
-            log = PUBLISHED[name]
-            old, new = before, after
-            if name == "label_login_7d":
-                old, new = _observable(before), _observable(after)
-            days = set(new) if accounts_changed else set(new) - set(old)
-            days |= affected_dates(name, changed.get(log, ()), new)
-            if days:
-                piece = build_table(sources, name, Axis.of_days(self.spark, days))
-                replace_dates(piece, self.path(name), OBSERVED, days)
-            gone = set(old) - set(new)
-            clear_dates(self.spark, self.path(name), OBSERVED, gone)
-            if days or gone:
-                done[name] = sorted(days | gone)
-        active_from = after[-1] - ACTIVE_DAYS * DAY if after else dt.date.max
-        if before != after or any(e >= active_from for e in changed.get("login", ())):
+            already = len(done.checks)
+            rewritten = self._refresh_table(manifest, name, sources, spine, accounts_changed, done)
+            repeated = _repeated(name, done.checks[already:])
+            if name in manifest.tables and not accounts_changed:  # rows that were not rewritten may repeat keys as well
+                repeated += manifest.tables[name].repeated
+            manifest = manifest.with_table(name, self._dates_of(name, spine), repeated)
+            if rewritten:
+                done[name] = sorted(rewritten)
+                manifest = stored_as = self._commit(manifest)
+        if self._behind(manifest, "eligibility_prediction", spine[-1:]):
             overwrite(eligibility_prediction(sources), self.path("eligibility_prediction"))
-            done["eligibility_prediction"] = after[-1:]
-        if before != after:
-            overwrite(date_spine(sources["login"]), self.path("date_spine"))
-            done["date_spine"] = sorted(set(before) ^ set(after))
+            done["eligibility_prediction"] = spine[-1:]
+        before = manifest.tables["date_spine"].dates if "date_spine" in manifest.tables else ()
+        if set(before) != set(spine):
+            overwrite(inline_dates(self.spark, spine, OBSERVED), self.path("date_spine"))
+            done["date_spine"] = sorted(set(before) ^ set(spine))
+        manifest = manifest.with_table("eligibility_prediction", spine[-1:]).with_table("date_spine", spine)
+        if manifest != stored_as:
+            manifest = self._commit(manifest)
+        self._drop_ids(manifest)
+        self._log(manifest, done.checks)
         return done
 
-
-def _dates(spine: DataFrame) -> list[dt.date]:
-    return sorted(r[0] for r in spine.where(F.col(OBSERVED).isNotNull()).toLocalIterator())
-
-
-def _observable(spine: list[dt.date]) -> list[dt.date]:
+    def _refresh_table(
+        self, manifest: Manifest, name: str, sources: Sources, spine: Sequence[dt.date], whole: bool, done: Done
+    ) -> set[dt.date]:
+        """Bring one table up to date; gives the dates that were rewritten."""
+        new = self._dates_of(name, spine)
+        if whole or name not in manifest.tables:
+            done.checks += self._whole(sources, name)
+            return set(new)
+        old = manifest.tables[name].dates
+        touched = [d for c in manifest.pending(name, PUBLISHED[name]) for d in c.dates]
+        days = set(new) - set(old) | affected_dates(name, touched, new)
+        people = [c.accounts for c in manifest.pending(name, "account")]
+        if days:
+            carry = None if people else self._carry(name, old, new, days)
+            rows, also = self._built(sources, name, Axis.of_days(self.spark, days), carry)
+            done.checks += write_checked(rows, name, self.path(name), dates=days, buckets=self.buckets, also=also)
+        merged = self._merge_accounts(name, sources, people, sorted(set(new) - days), done) if people else set()
+        gone = set(old) - set(new)
+        clear_dates(self.spark, self.path(name), OBSERVED, gone)
+        return days | merged | gone
+
+    def _carry(self, name: str, old: Sequence[dt.date], new: Sequence[dt.date], days: set[dt.date]) -> Carry | None:
+        """The table's own rows on the date before a slice. Everything affected lies in the slice, so they are right."""
+        if name not in WINDOW_TABLES or not WINDOW_TABLES[name].state:
+            return None
+        earlier = [d for d in set(old) & set(new) if d < min(days)]
+        if not earlier:
+            return None
+        return Carry(max(earlier), self.table(name).where(F.col(OBSERVED) == F.lit(max(earlier))))
+
+    def _stored_ids(self, accounts: DataFrame | Iterable[int]) -> str:
+        if not isinstance(accounts, DataFrame):
+            accounts = self.spark.createDataFrame([(a,) for a in accounts], f"{ENTITY} long")
+        folder = f"{self.root}/changes/accounts-{uuid4().hex}"
+        overwrite(accounts.select(F.col(ENTITY).cast("long").alias(ENTITY)).where(F.col(ENTITY).isNotNull()).distinct(), folder)
+        return folder
+
+    def _drop_ids(self, manifest: Manifest) -> None:
+        """Delete lists of accounts that every table has taken in."""
+        wanted = {c.accounts for c in manifest.changes}
+        for name in names_in(self.spark, f"{self.root}/changes"):
+            if (folder := f"{self.root}/changes/{name}") not in wanted:
+                discard(self.spark, folder)
+
+    def _merge_accounts(
+        self, name: str, sources: Sources, folders: Sequence[str], dates: Sequence[dt.date], done: Done
+    ) -> set[dt.date]:
+        """Replace the rows of some accounts on the dates that they are, or were, observed on."""
+        ids = self.spark.read.schema(f"{ENTITY} long").parquet(*folders).distinct()
+        some = Sources({n: df.join(ids, ENTITY, "left_semi").select(*df.columns) for n, df in sources.items()})
+        stored = self.table(name)
+        created = some["account"].agg(F.min("created_at")).first()[0]
+        seen = stored.join(ids, ENTITY, "left_semi").agg(F.min(OBSERVED)).first()[0]
+        days = [d for d in dates if any(first is not None and d >= first for first in (created, seen))]
+        if not days:
+            return set()
+        on_days = F.col(OBSERVED).between(F.lit(days[0]), F.lit(days[-1])) & F.col(OBSERVED).isin(days)
+        kept = stored.where(on_days).join(ids, ENTITY, "left_anti").select(*stored.columns)
+        both = kept.unionByName(build_table(some, name, Axis.of_days(self.spark, days)))
+        # The rows to keep come from the very folders that are replaced.
+        staged = shared_folder(self.spark, f"merge-{name}")
+        overwrite(both, staged)
+        table = self.spark.read.schema(both.schema).parquet(staged)
+        done.checks += write_checked(table, name, self.path(name), dates=days, buckets=self.buckets)
+        discard(self.spark, staged)
+        return set(days)
+
+
+def _repeated(name: str, counted: Iterable[Counted]) -> int:
+    return sum(c.violations for c in counted if (c.table_name, c.check_name) == (name, UNIQUE_CHECK))
+
+
+def _observable(spine: Sequence[dt.date]) -> list[dt.date]:
     return [d for d in spine if d <= spine[-1] - LABEL_DAYS * DAY]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ def point_in_time(
     max_age_days: int | None = None,
     unique_spine: bool = False,
     dates: Dates | None = None,
+    unique: Collection[str] = (),
 ) -> DataFrame:
     """Left as-of join of several feature tables onto ``spine``.
 
@@ -36,7 +37,8 @@ def point_in_time(
     All tables are resolved in one pass: their rows and the spine keys are unioned, each side
     shuffled once by account, and one window carries each table's last row forward as a struct.
     Feature rows that repeat a key are first reduced to the greatest of them, column by column in the order
-    asked for, so an account has one row per calendar day and table, which bounds the window group.
+    asked for, so an account has one row per calendar day and table, which bounds the window group. Tables named in
+    ``unique`` are known not to repeat a key (their last write counted it) and go without that step.
     The spine itself may repeat keys without limit, so unless ``unique_spine`` says it does not,
     its distinct keys are resolved and joined back by both keys, where adaptive execution can
     split a hot key.
@@ -51,9 +53,9 @@ def point_in_time(
         if not isinstance(kind, T.DateType):
             raise TypeError(f"{name}.{OBSERVED} must be a DATE, not {kind.simpleString()}")
     if unique_spine:
-        return _resolve(spine, wanted, max_age_days)
+        return _resolve(spine, wanted, max_age_days, unique)
     keys = spine.select(*KEYS).distinct()
-    return spine.join(_resolve(keys, wanted, max_age_days), KEYS, "left").select(
+    return spine.join(_resolve(keys, wanted, max_age_days, unique), KEYS, "left").select(
         *spine.columns, *[c for _, cols in wanted.values() for c in cols]
     )
 
@@ -72,7 +74,7 @@ def _near(table: DataFrame, dates: Dates | None, max_age_days: int | None) -> Da
     return table.where(near)
 
 
-def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None) -> DataFrame:
+def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None, unique: Collection[str]) -> DataFrame:
     extras = [c for c in spine.columns if c not in KEYS]
     # Feature rows sort before the spine row of the same date, so an exact match is visible.
     rows = by_entity(spine).withColumn("_side", F.lit(1))
@@ -80,8 +82,10 @@ def _resolve(spine: DataFrame, wanted: Wanted, max_age_days: int | None) -> Data
         known = table.where(F.col(ENTITY).isNotNull() & F.col(OBSERVED).isNotNull()).select(
             *KEYS, F.struct(F.col(OBSERVED).alias("_at"), *columns).alias(f"_{name}")
         )
-        # Rows that repeat a key become the greatest of them; partitioned by account already, no shuffle more.
-        known = by_entity(known).groupBy(*KEYS).agg(F.max(f"_{name}").alias(f"_{name}"))
+        known = by_entity(known)
+        if name not in unique:
+            # Rows that repeat a key become the greatest of them; partitioned by account already, no shuffle more.
+            known = known.groupBy(*KEYS).agg(F.max(f"_{name}").alias(f"_{name}"))
         rows = rows.unionByName(known.withColumn("_side", F.lit(0)), allowMissingColumns=True)
     so_far = (
         Window.partitionBy(ENTITY)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import ENTITY, EVENT_DATE, KEYS, OBSERVED
+from tidemark.operators.dyadic import dates_after
 from tidemark.operators.windows import Span
 
 
@@ -15,14 +16,14 @@ def range_join(grid: DataFrame, spine: DataFrame, log: DataFrame, span: Span) ->
     Written as an account equi join with a date range, Spark would bring all events and all
     observations of an account together and test every pair. Here each event is first given
     the observation dates that see it and joined by account *and* date. In a bounded window these
-    are the window's days, taken from the event's own date; only an open window compares events with the
-    spine, since there the output itself has a row per event and later date. Events meet the grid in an
+    are the window's days, taken from the event's own date; in an open window, where the output itself has a row per
+    event and later date, they are found by equi join on blocks of dates. Events meet the grid in an
     inner join, of which adaptive execution may split either side, and grid rows without events are
     added. ``grid`` must use the dates of ``spine``.
     """
     day = F.col(EVENT_DATE)
     if span.first is None:
-        seen = log.join(spine, day <= F.date_add(OBSERVED, span.last))
+        seen = dates_after(log, F.date_sub(day, span.last), spine, OBSERVED)
     else:
         days = F.sequence(F.date_sub(day, span.last), F.date_sub(day, span.first))
         seen = log.withColumn(OBSERVED, F.explode(days))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import ENTITY, EVENT_DATE, KEYS, OBSERVED
+from tidemark.operators.dyadic import aggregated_through
 from tidemark.operators.grid import by_entity
 
 
@@ -74,12 +75,65 @@ def attach(grid: DataFrame, daily: DataFrame, rollings: Sequence[Rolling], form:
     """Add the rolling columns to every grid row, rows without events included.
 
     ``frame``   union of grid and partials, one window pass per account;
-    ``join``    the range join as written, then an aggregation;
+    ``join``    the range join as written, then an aggregation; open windows from blocks of dates;
     ``spread``  every partial is sent to the observation dates that see it, then an equi join.
 
     All three return the same rows; ``spread`` cannot express an unbounded span.
+
+    A measure that ``exact_parts`` split into whole numbers is windowed part by part and put together at the end.
+    """
+    split = [r for r in rollings if f"{r.measure}__0" in daily.columns]
+    if not split:
+        return _FORMS[form](grid, daily, list(rollings))
+    parts = [
+        Rolling(f"{r.name}__{k}", f"{r.measure}__{k}", r.span) for r in split for k in [*range(LIMBS + 1), "n"]
+    ]
+    rows = _FORMS[form](grid, daily, [r for r in rollings if r not in split] + parts)
+    return rows.selectExpr(*grid.columns, *[f"{_joined(r.name)} AS {r.name}" if r in split else r.name for r in rollings])
+
+
+#: Whole numbers of 32 bits each that hold the fraction of a double in an exact sum.
+LIMBS = 3
+_LARGEST = float(1 << 52)
+
+
+def with_exact_parts(rows: DataFrame, amount: str) -> DataFrame:
+    """Columns whose sums give the exact sum of a DOUBLE column: its floor, ``LIMBS`` times 32 bits of its fraction, and
+    whether it is out of range (not finite, or 2**52 and more).
+
+    Sums of whole numbers do not depend on their order and can be subtracted, so a moving window is the difference of
+    two that only grow. Bits below 2**-96 are dropped, which doubles from about 1e-13 on do not have.
     """
-    return _FORMS[form](grid, daily, list(rollings))
+    fit = f"coalesce(abs({amount}) < {_LARGEST:.1f}D, {amount} IS NULL)"
+    rows = rows.withColumn("_rest", F.expr(f"CASE WHEN {fit} THEN {amount} END"))
+    for k in range(LIMBS + 1):
+        rows = rows.withColumns({
+            f"{amount}__{k}": F.expr("CAST(floor(_rest) AS BIGINT)"),
+            "_rest": F.expr("(_rest - floor(_rest)) * 4294967296D"),
+        })
+    return rows.withColumn(f"{amount}__n", F.expr(f"CASE WHEN {fit} THEN 0L ELSE 1L END")).drop("_rest")
+
+
+def exact_parts(name: str, amount: str, condition: str | None = None) -> dict[str, str]:
+    """Daily measures that sum the parts of ``amount`` where ``condition`` holds."""
+    out = {}
+    for k in [*range(LIMBS + 1), "n"]:
+        value = f"{amount}__{k}"
+        out[f"{name}__{k}"] = f"sum({value})" if condition is None else f"sum(CASE WHEN {condition} THEN {value} END)"
+    return out
+
+
+def _joined(name: str) -> str:
+    """The double nearest to the sum whose parts are given; NaN where an amount was out of range."""
+    # Carry what exceeds 32 bits to the next part up, so that each part is exact as a double.
+    whole, text = [f"{name}__{LIMBS}"], ""
+    for k in range(LIMBS - 1, -1, -1):
+        whole.append(f"({name}__{k} + shiftright({whole[-1]}, 32))")
+    fraction = "0D"
+    for part in whole[:-1]:
+        fraction = f"(({fraction} + CAST({part} & 4294967295L AS DOUBLE)) / 4294967296D)"
+    text = f"CAST({whole[-1]} AS DOUBLE) + {fraction}"
+    return f"CASE WHEN {name}__n > 0 THEN double('NaN') ELSE {text} END"
 
 
 def _is_exact(kind: T.DataType) -> bool:
@@ -152,14 +206,25 @@ def _aggregates(rollings: list[Rolling], offset: str, kinds: dict[str, T.DataTyp
 
 
 def _join(grid: DataFrame, daily: DataFrame, rollings: list[Rolling]) -> DataFrame:
+    """Bounded windows by range join; open ones from blocks of dates, without a pair of an event and every later date."""
+    bounded = [r for r in rollings if r.span.first is not None]
+    rows = _range_join(grid, daily, bounded) if bounded else grid
+    for last in sorted({r.span.last for r in rollings if r.span.first is None}):
+        of_span = [r for r in rollings if r.span == Span(None, last)]
+        measures = {r.name: f"{r.how}({r.measure})" for r in of_span}
+        rows = aggregated_through(rows, [ENTITY], OBSERVED, daily, EVENT_DATE, last, measures)
+    kinds = {f.name: f.dataType for f in daily.schema.fields}
+    columns = [f"coalesce({r.name}, {_zero(kinds[r.measure])}) AS {r.name}" if r.how == "sum" else r.name for r in rollings]
+    return rows.selectExpr(*grid.columns, *columns)
+
+
+def _range_join(grid: DataFrame, daily: DataFrame, rollings: list[Rolling]) -> DataFrame:
     kinds = {f.name: f.dataType for f in daily.schema.fields}
     back, ahead = reach(rollings)
     events = daily.withColumnsRenamed({ENTITY: "_entity"})
-    on = (F.col(ENTITY) == F.col("_entity")) & (F.col(EVENT_DATE) <= F.date_add(OBSERVED, ahead))
-    if back is not None:
-        on &= F.col(EVENT_DATE) >= F.date_add(OBSERVED, back)
-    offset = f"datediff({EVENT_DATE}, {OBSERVED})"
-    return grid.join(events, on, "left").groupBy(*grid.columns).agg(*_aggregates(rollings, offset, kinds))
+    near = F.col(EVENT_DATE).between(F.date_add(OBSERVED, back), F.date_add(OBSERVED, ahead))
+    joined = grid.join(events, (F.col(ENTITY) == F.col("_entity")) & near, "left")
+    return joined.groupBy(*grid.columns).agg(*_aggregates(rollings, f"datediff({EVENT_DATE}, {OBSERVED})", kinds))
 
 
 def _spread(grid: DataFrame, daily: DataFrame, rollings: list[Rolling]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,13 +57,14 @@ def assemble(
     unique_spine: bool = False,
     dense: bool = False,
     dates: Dates | None = None,
+    unique: Collection[str] = (),
 ) -> DataFrame:
     """Join features to ``spine`` as of each row's date: keys, features in order, label last.
 
     Only the tables and columns asked for are read. ``dense`` declares that every feature table
     has a row for every spine key, which allows plain equi joins instead of the as-of join.
     ``dates`` names the dates the spine lies on, if they are known more cheaply than by computing
-    it; feature rows that none of them can see are not read.
+    it; feature rows that none of them can see are not read. ``unique`` names tables known not to repeat a key.
     """
     keep = [*KEYS, *([label] if label else [])]
     wanted: dict[str, tuple[DataFrame, list[str]]] = {}
@@ -76,7 +77,7 @@ def assemble(
         joined = exact_join(spine, wanted, dates)
     else:
         joined = point_in_time(
-            spine, wanted, max_age_days=max_age_days, unique_spine=unique_spine, dates=dates
+            spine, wanted, max_age_days=max_age_days, unique_spine=unique_spine, dates=dates, unique=unique
         )
     return joined.select(*KEYS, *[f.name for f in features], *([label] if label else []))
 
@@ -89,6 +90,7 @@ def training_set(
     labels: DataFrame | None = None,
     dense: bool = False,
     dates: Dates | None = None,
+    unique: Collection[str] = (),
 ) -> DataFrame:
     """Labelled rows with point-in-time features from the given (usually stored) tables.
 
@@ -98,7 +100,9 @@ def training_set(
     axis = label_axis(sources)
     spine = login_labels(sources, axis) if labels is None else labels
     dates = axis.spine if dates is None else dates
-    return assemble(spine, features, tables, LABEL_COLUMN, unique_spine=True, dense=dense, dates=dates)
+    return assemble(
+        spine, features, tables, LABEL_COLUMN, unique_spine=True, dense=dense, dates=dates, unique=unique
+    )
 
 
 def prediction_set(
@@ -109,6 +113,7 @@ def prediction_set(
     eligible: DataFrame | None = None,
     dense: bool = False,
     dates: Dates | None = None,
+    unique: Collection[str] = (),
 ) -> DataFrame:
     """The accounts to score with the same features and no label.
 
@@ -119,7 +124,7 @@ def prediction_set(
     dates = Axis.latest_of(sources["login"]).spine if dates is None else dates
     spine = eligibility_prediction(sources) if eligible is None else eligible
     return assemble(
-        spine, features, tables, unique_spine=True, dense=dense, dates=dates
+        spine, features, tables, unique_spine=True, dense=dense, dates=dates, unique=unique
     )
 
 
@@ -171,7 +176,9 @@ def _merged_partials(tables: Sequence[WindowTable], sources: Sources, axis: Axis
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
     how = {r.measure: r.how for t in tables for r in t.rollings}
-    return stacked.groupBy(ENTITY, EVENT_DATE).agg(*[getattr(F, h)(m).alias(m) for m, h in how.items()])
+    measures = [c for c in stacked.columns if c not in (ENTITY, EVENT_DATE)]
+    # Parts of an exact sum are summed like the measure they belong to.
+    return stacked.groupBy(ENTITY, EVENT_DATE).agg(*[getattr(F, how[m.split("__")[0]])(m).alias(m) for m in measures if m.split("__")[0] in how])
 
 
 def training_set_from_logs(sources: Sources, names: Sequence[str] = CHURN_FEATURES) -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tidemark.contracts import (
     SPEND_WINDOWS,
     TABLE_COLUMNS,
     conform,
+    schema_of,
 )
 from tidemark.functions.columns import (
     ratio,
@@ -35,9 +37,11 @@ from tidemark.operators.windows import (
     attach,
     back_to,
     daily_partials,
+    exact_parts,
     last_dates,
     next_dates,
     reach,
+    with_exact_parts,
 )
 from tidemark.sources.tables import Sources
 
@@ -58,6 +62,8 @@ class WindowTable:
     columns: Callable[[T.StructType], Mapping[str, str]]
     prepare: Callable[[DataFrame], DataFrame] = lambda log: log
     date: str = EVENT_DATE
+    #: Measures of all history in terms of the table's own columns, for tables that can carry their state.
+    state: Mapping[str, str] = field(default_factory=dict)
 
 
 def _weekly(*measures: str) -> list[Rolling]:
@@ -103,10 +109,25 @@ def money_scale(kind: T.DataType) -> int | None:
     return 0 if isinstance(kind, T.IntegralType) else None
 
 
+def _is_double(schema: T.StructType) -> bool:
+    return isinstance(schema["amount_usd"].dataType, T.DoubleType)
+
+
+def priced_purchases(log: DataFrame) -> DataFrame:
+    """Purchases with a time. Amounts in doubles come with the parts that sum exactly."""
+    rows = log.where("purchase_ts IS NOT NULL")
+    return with_exact_parts(rows, "amount_usd") if _is_double(log.schema) else rows
+
+
 def _purchase_measures(schema: T.StructType) -> dict[str, str]:
     scale = money_scale(schema["amount_usd"].dataType)
     amount = f"CAST(amount_usd * {10**scale} AS BIGINT)" if scale else "amount_usd"
     known = ", ".join(f"'{c}'" for c in CATEGORIES)
+    if _is_double(schema):
+        conditions = {f"spent_{c}": f"category = '{c}'" for c in CATEGORIES}
+        conditions |= {"spent_known": f"category IN ({known})", "spent_all": None}
+        parts = [exact_parts(name, "amount_usd", c) for name, c in conditions.items()]
+        return {n: text for p in parts for n, text in p.items()} | {"purchase_n": "count(1)"}
     return {
         **{f"spent_{c}": f"sum(CASE WHEN category = '{c}' THEN {amount} END)" for c in CATEGORIES},
         "spent_known": f"sum(CASE WHEN category IN ({known}) THEN {amount} END)",
@@ -144,7 +165,7 @@ PURCHASE = WindowTable(
     _purchase_measures,
     PURCHASE_ROLLINGS,
     _purchase_columns,
-    prepare=lambda log: log.where("purchase_ts IS NOT NULL"),
+    prepare=priced_purchases,
 )
 
 
@@ -164,6 +185,7 @@ PROGRESSION = WindowTable(
         "level_ups_30d": "level_ups_30d",
         "current_level": "coalesce(level_top, 1)",
     },
+    state={"level_top": "current_level"},
 )
 
 
@@ -237,33 +259,64 @@ WINDOW_TABLES = {t.name: t for t in (BATTLE, PURCHASE, PROGRESSION, SOCIAL, MEMB
 # --- building ---------------------------------------------------------------------------
 
 
-def daily_of(table: WindowTable, sources: Sources, axis: Axis) -> DataFrame:
+@dataclass(frozen=True)
+class Carry:
+    """State to start from instead of all history: a table's own rows on an earlier observation date.
+
+    ``state`` has the table's rows of ``date``, which must reflect every event up to that date.
+    """
+
+    date: dt.date
+    state: DataFrame
+
+
+def daily_of(table: WindowTable, sources: Sources, axis: Axis, carry: Carry | None = None) -> DataFrame:
     """Daily partials of a table's log, restricted to what the axis can see.
 
     When an all-history window meets a bounded axis, everything older than the bounded windows
-    is folded into one earlier date, so each account contributes one row for its whole past.
+    is folded into one earlier date, so each account contributes one row for its whole past. With
+    ``carry`` that past is taken from the stored state, and only the dates since then are read.
     """
-    log = sources[table.log]
+    source = sources[table.log]
+    measures = table.measures(source.schema)
     back, ahead = reach(table.rollings)
-    log = axis.events(log, table.date, (back, ahead))
-    if back is None and axis.bounded and axis.days != ():
-        oldest = min((r.span.first for r in table.rollings if r.span.first is not None), default=0)
+    log = axis.events(source, table.date, (back, ahead))
+    if back is not None or not axis.bounded or axis.days == ():
+        return daily_partials(table.prepare(log), measures, table.date)
+    oldest = min((r.span.first for r in table.rollings if r.span.first is not None), default=0)
+    if carry is None:
         floor = F.date_add(axis.first, min(oldest, 0) - 1)
         log = log.withColumn(table.date, F.greatest(F.col(table.date), floor))
-    return daily_partials(table.prepare(log), table.measures(sources[table.log].schema), table.date)
+        return daily_partials(table.prepare(log), measures, table.date)
+    # Everything up to the carried date is in the state; the bounded windows may reach further back.
+    since = min(carry.date + dt.timedelta(days=1), axis.days[0] + dt.timedelta(days=oldest))
+    recent = log.where(F.col(table.date) >= F.lit(since))
+    daily = daily_partials(table.prepare(recent), measures, table.date)
+    late = sources["account"].where((F.col("created_at") > F.lit(carry.date)) & (F.col("created_at") <= F.lit(axis.days[-1])))
+    if not late.isEmpty():
+        # Accounts that were not observed yet have no state; what they did before is read for them alone.
+        older = log.where(F.col(table.date) < F.lit(since)).join(late.select(ENTITY).distinct(), ENTITY, "left_semi")
+        older = older.select(*log.columns).withColumn(table.date, F.lit(since - dt.timedelta(days=1)))
+        daily = daily.unionByName(daily_partials(table.prepare(older), measures, table.date))
+    state = carry.state.selectExpr(
+        ENTITY, f"DATE'{since - dt.timedelta(days=1)}' AS {EVENT_DATE}", *[f"{v} AS {m}" for m, v in table.state.items()]
+    )
+    return daily.unionByName(state, allowMissingColumns=True)
 
 
-def rolled(table: WindowTable, sources: Sources, axis: Axis, form: str = "frame") -> DataFrame:
+def rolled(table: WindowTable, sources: Sources, axis: Axis, form: str = "frame", carry: Carry | None = None) -> DataFrame:
     """The grid with a table's output columns, including those outside its contract."""
     grid = observation_grid(sources["account"], axis.spine, colocate=True)
-    rows = attach(grid, daily_of(table, sources, axis), table.rollings, form)
+    rows = attach(grid, daily_of(table, sources, axis, carry), table.rollings, form)
     columns = table.columns(sources[table.log].schema)
     return rows.selectExpr(*KEYS, *[f"{c} AS {n}" for n, c in columns.items()])
 
 
-def window_table(table: WindowTable, sources: Sources, axis: Axis, form: str = "frame") -> DataFrame:
+def window_table(
+    table: WindowTable, sources: Sources, axis: Axis, form: str = "frame", carry: Carry | None = None
+) -> DataFrame:
     """Build one window table over the axis. ``form`` is one of the window forms."""
-    rows = rolled(table, sources, axis, form)
+    rows = rolled(table, sources, axis, form, carry)
     if table is not PURCHASE:
         return conform(rows, table.name)
     return conform(rows, table.name, money_scale(sources[table.log].schema["amount_usd"].dataType))
@@ -371,8 +424,11 @@ def full_axis(sources: Sources) -> Axis:
     return Axis(date_spine(sources["login"]))
 
 
-def build_table(sources: Sources, name: str, axis: Axis | None = None) -> DataFrame:
-    """Any feature or label table by name, over the whole spine unless an axis is given."""
+def build_table(sources: Sources, name: str, axis: Axis | None = None, carry: Carry | None = None) -> DataFrame:
+    """Any feature or label table by name, over the whole spine unless an axis is given.
+
+    ``carry`` lets a slice of a table with all-history columns start from its stored state.
+    """
     if name not in TABLE_COLUMNS:
         raise KeyError(f"unknown table {name!r}; known tables: {sorted(TABLE_COLUMNS)}")
     if axis is None:
@@ -387,7 +443,16 @@ def build_table(sources: Sources, name: str, axis: Axis | None = None) -> DataFr
         return clan_features(sources, axis)
     if name in DERIVED:
         return DERIVED[name](rolled(PURCHASE, sources, axis))
-    return window_table(WINDOW_TABLES[name], sources, axis)
+    return window_table(WINDOW_TABLES[name], sources, axis, carry=carry)
+
+
+def enriched_with_parts(sources: Sources, axis: Axis | None = None) -> DataFrame:
+    """The enriched purchase table with the tier and velocity columns it is made of, for checks on all three."""
+    purchase = rolled(PURCHASE, sources, axis or full_axis(sources))
+    parts = purchase.withColumns({**tier_columns(), **velocity_columns(purchase.schema)})
+    flags = flag_columns(F.col("spender_tier"), F.coalesce("spend_velocity_7d_over_30d", F.lit(0.0)))
+    columns = {f.name: f.dataType for t in ("purchase_enriched", "spender_tier", "purchase_velocity") for f in schema_of(t)}
+    return parts.withColumns(flags).select(*[F.col(n).cast(kind) for n, kind in columns.items()])
 
 
 # Tables that are projections of the purchase table, with the windows their columns look at.

@@ -1,15 +1,21 @@
-"""Data-quality expectations. They warn: rows are kept and violations are counted."""
+"""Data-quality expectations. They warn: rows are kept and violations are counted.
+
+Tables are checked while they are written: the counts are observed in the rows on their way to the files.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contracts import KEYS, LOG_TIMESTAMP
+from tidemark.contracts import ENTITY, KEYS, LOG_TIMESTAMP, OBSERVED, schema_of
+from tidemark.sources.tables import overwrite, replace_dates
 
 # The expectation of each table, by name.
 EXPECTATIONS: dict[str, dict[str, str]] = {
@@ -43,6 +49,7 @@ EXPECTATIONS: dict[str, dict[str, str]] = {
 }
 
 KEY_CHECK = "keys_not_null"
+UNIQUE_CHECK = "keys_unique"
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -64,14 +71,71 @@ def _violations(predicate: str) -> F.Column:
     return F.count_if(~F.coalesce(F.expr(predicate), F.lit(False)))
 
 
-def watch(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+class Counted(NamedTuple):
+    """Rows of a table that one check looked at, and how many of them it objects to."""
+
+    table_name: str
+    check_name: str
+    row_count: int
+    violations: int
+
+
+def arranged(df: DataFrame, buckets: int = 1) -> tuple[DataFrame, F.Column]:
+    """Rows brought together for a table laid out by observation date, and a flag for repeated keys.
+
+    One exchange by date and bucket of accounts puts equal keys into one task, and adaptive execution may merge such
+    tasks but not split them. The sort by date, bucket and account serves both the check, which
+    compares neighbours, and the writer. ``buckets`` bounds a task by that share of the accounts on one date, since a
+    table has a row per account and date; a hot account has no more rows than any other.
+    """
+    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(ENTITY), F.lit(buckets))).repartition(OBSERVED, "_bucket")
+    same_key = Window.partitionBy(OBSERVED, "_bucket", ENTITY).orderBy(ENTITY)
+    return spread, F.row_number().over(same_key) > 1
+
+
+def watch(df: DataFrame, table: str, buckets: int = 1, also: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
     """Count violations while ``df`` is written or otherwise consumed, without a second pass.
 
-    Read ``observation.get`` after the action: one count per check, and ``row_count``.
+    Rows come arranged for a table laid out by date. ``also`` names further tables whose columns the rows carry. Read
+    ``counts(observation, table, also)`` after the action.
+    """
+    rows, repeated = arranged(df, buckets)
+    observation = Observation()
+    metrics = [F.count(F.lit(1)).alias("row_count"), F.count_if("_repeated").alias(f"{table}.{UNIQUE_CHECK}")]
+    for name in (table, *also):
+        metrics += [_violations(p).alias(f"{name}.{check}") for check, p in checks_of(name).items()]
+    return rows.withColumn("_repeated", repeated).observe(observation, *metrics).drop("_bucket", "_repeated"), observation
+
+
+def counts(observation: Observation, table: str, also: Sequence[str] = ()) -> list[Counted]:
+    """The observed counts, a row per check. Tables that share the rows share the uniqueness of their keys."""
+    got = observation.get
+    got |= {f"{name}.{UNIQUE_CHECK}": got[f"{table}.{UNIQUE_CHECK}"] for name in also}
+    checks = [(name, check) for name in (table, *also) for check in (*checks_of(name), UNIQUE_CHECK)]
+    return [Counted(name, check, got["row_count"], got[f"{name}.{check}"]) for name, check in checks]
+
+
+def write_checked(
+    df: DataFrame, table: str, path: str, *, dates: Iterable[dt.date] | None = None, buckets: int = 1, also: Sequence[str] = ()
+) -> list[Counted]:
+    """Store ``df`` laid out by observation date and count what its checks object to, in one write.
+
+    With ``dates`` only the rows on those dates are replaced. ``also`` names tables that are functions of the same row and
+    not stored themselves: they are checked, and their further columns left out of the files.
     """
-    observation = Observation(f"quality_{table}")
-    metrics = [_violations(p).alias(name) for name, p in checks_of(table).items()]
-    return df.observe(observation, F.count(F.lit(1)).alias("row_count"), *metrics), observation
+    extra = [c for c in df.columns if c not in _stored_columns(table)] if also else []
+    if dates is None:
+        rows, seen = watch(df, table, buckets, also)
+        overwrite(rows.drop(*extra), path, OBSERVED, arranged=True)
+    else:
+        days = sorted(set(dates))
+        rows, seen = watch(df.where(F.col(OBSERVED).isin(days)), table, buckets, also)
+        replace_dates(rows.drop(*extra), path, OBSERVED, days, arranged=True)
+    return counts(seen, table, also)
+
+
+def _stored_columns(table: str) -> list[str]:
+    return schema_of(table).fieldNames()
 
 
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.contracts import CATALOG_NAMES, SOURCE_COLUMNS, SOURCE_DATE
+from tidemark.sources.files import remove_dates
 
 
 class Sources(Mapping[str, DataFrame]):
@@ -78,17 +79,19 @@ def inline_dates(spark: SparkSession, dates: Iterable[dt.date], column: str) ->
     return spark.createDataFrame([(d,) for d in dates], schema=f"{column} date")
 
 
-def _writer(df: DataFrame, layout: str | None, mode: str):
+def _writer(df: DataFrame, layout: str | None, mode: str, arranged: bool = False):
     if layout is None:
         return df.write.mode(mode)
+    if arranged:  # the rows of a date are together already
+        return df.write.mode(mode).partitionBy(layout)
     # REBALANCE puts a date's rows together so each date gets few files, and lets adaptive
     # execution split a date that is larger than the advisory partition size.
     return df.hint("rebalance", layout).write.mode(mode).partitionBy(layout)
 
 
-def overwrite(df: DataFrame, path: str, layout: str | None = None) -> None:
+def overwrite(df: DataFrame, path: str, layout: str | None = None, arranged: bool = False) -> None:
     """Replace a whole table, its schema included; ``layout`` is the date column to lay out by."""
-    _writer(df, layout, "overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    _writer(df, layout, "overwrite", arranged).option("partitionOverwriteMode", "static").parquet(path)
 
 
 def append(df: DataFrame, path: str, layout: str | None = None) -> None:
@@ -96,7 +99,7 @@ def append(df: DataFrame, path: str, layout: str | None = None) -> None:
     _writer(df, layout, "append").parquet(path)
 
 
-def replace_dates(df: DataFrame, path: str, layout: str, dates: Iterable[dt.date]) -> None:
+def replace_dates(df: DataFrame, path: str, layout: str, dates: Iterable[dt.date], arranged: bool = False) -> None:
     """Replace every row on ``dates`` by the rows of ``df``, in one write.
 
     A dynamic partition overwrite only touches partitions that receive rows, so dates for which
@@ -110,30 +113,15 @@ def replace_dates(df: DataFrame, path: str, layout: str, dates: Iterable[dt.date
     # and at most one value per calendar day reaches the driver.
     seen = Observation()
     kept = df.where(F.col(layout).isin(dates)).observe(seen, F.collect_set(layout).alias("dates"))
-    _writer(kept, layout, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    _writer(kept, layout, "overwrite", arranged).option("partitionOverwriteMode", "dynamic").parquet(path)
     written = set(seen.get["dates"])
     clear_dates(df.sparkSession, path, layout, [d for d in dates if d not in written])
 
 
 def clear_dates(spark: SparkSession, path: str, layout: str, dates: Iterable[dt.date]) -> None:
-    """Remove all rows of a date-laid-out table on ``dates``.
-
-    Writes an empty frame over each partition folder: the partition stays listed but holds no
-    rows, on any file system and without catalog support.
-    """
-    dates = sorted(set(dates))
-    if not dates:
-        return
-    table = spark.read.parquet(path)
-    stored = {
-        r[0] for r in table.where(F.col(layout).isin(dates)).select(layout).distinct().toLocalIterator()
-    }
-    body = table.drop(layout)
-    empty = spark.createDataFrame([], body.schema)
-    for day in sorted(stored):
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{path}/{layout}={day.isoformat()}"
-        )
+    """Remove all rows of a date-laid-out table on ``dates``: their folders go, without a job. An interrupted
+    removal is completed by the next one."""
+    remove_dates(spark, path, layout, dates)
 
 
 def write_sources(sources: Sources, root: str) -> None:

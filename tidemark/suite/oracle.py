@@ -158,9 +158,9 @@ def _bucket(text: str, n: int) -> str:
     return f"CAST(({digits}) % {n} AS INT)"
 
 
-def _checks() -> str:
-    """Violation counts of every table's rules, one row each."""
-    rules = {
+def _rules() -> dict:
+    """Every table's rules by table, with the name of its definition."""
+    return {
         ("account", "f_account"): {"nonneg_account_age": "account_age_days IS NULL OR account_age_days >= 0"},
         ("battle", "f_battle"): {
             "valid_win_rate": "win_rate_7d IS NULL OR win_rate_7d BETWEEN 0 AND 1",
@@ -190,6 +190,11 @@ def _checks() -> str:
             "nonneg_score": "enriched_spend_score IS NULL OR enriched_spend_score >= 0"
         },
     }
+
+
+def _checks() -> str:
+    """Violation counts of every table's rules, one row each."""
+    rules = _rules()
     keyed = "account_id IS NOT NULL AND observation_date IS NOT NULL"
     parts = []
     for (name, table), checks in rules.items():
@@ -201,6 +206,56 @@ def _checks() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _checks_with_unique(tables: dict[str, str]) -> str:
+    """Violation counts of the given tables (name to definition) with keys that must be there once."""
+    keyed = "account_id IS NOT NULL AND observation_date IS NOT NULL"
+    parts = []
+    for (name, _), checks in _rules().items():
+        if name in tables:
+            for check, rule in {**checks, "keys_not_null": keyed}.items():
+                parts.append(
+                    f"SELECT '{name}' AS table_name, '{check}' AS check_name, COUNT(*) AS row_count, "
+                    f"COUNT(CASE WHEN ({rule}) THEN NULL ELSE 1 END) AS violations FROM {tables[name]}"
+                )
+            parts.append(
+                f"SELECT '{name}' AS table_name, 'keys_unique' AS check_name, CAST(SUM(c) AS BIGINT) AS row_count, "
+                f"CAST(SUM(c - 1) AS BIGINT) AS violations "
+                f"FROM (SELECT COUNT(*) AS c FROM {tables[name]} GROUP BY account_id, observation_date)"
+            )
+    return " UNION ALL ".join(parts)
+
+
+# Columns overwritten in the rows of accounts with a remainder modulo 11.
+_DAMAGE = {
+    "account": "CASE WHEN r = 1 THEN -1 ELSE account_age_days END AS account_age_days",
+    "battle": "CASE WHEN r = 1 THEN 2 ELSE win_rate_7d END AS win_rate_7d, "
+    "CASE WHEN r = 2 THEN -1 ELSE avg_duration_7d END AS avg_duration_7d",
+    "progression": "CASE WHEN r = 1 THEN 0 ELSE current_level END AS current_level, "
+    "CASE WHEN r = 2 THEN -1 WHEN r = 3 THEN level_ups_30d + 1 ELSE level_ups_7d END AS level_ups_7d",
+    "social": "CASE WHEN r = 1 THEN -1 ELSE gifts_7d END AS gifts_7d",
+    "session": "CASE WHEN r = 1 THEN -1 ELSE sessions_7d END AS sessions_7d, "
+    "CASE WHEN r = 2 THEN -1 ELSE avg_session_seconds_7d END AS avg_session_seconds_7d, "
+    "CASE WHEN r = 3 THEN sessions_7d + 1 ELSE sessions_ios_7d END AS sessions_ios_7d",
+    "spender_tier": "CASE WHEN r = 1 THEN 'tin' ELSE spender_tier END AS spender_tier",
+    "purchase_velocity": "CASE WHEN r = 1 THEN -1 ELSE spend_7d_total END AS spend_7d_total, "
+    "CASE WHEN r = 2 THEN 1.5 ELSE spend_velocity_7d_over_30d END AS spend_velocity_7d_over_30d",
+    "purchase_enriched": "CASE WHEN r = 1 THEN -1 ELSE enriched_spend_score END AS enriched_spend_score",
+}
+
+
+def _damaged() -> list[str]:
+    """A damaged version ``x_<table>`` of every feature table."""
+    out = []
+    for name, table in _rules():
+        changed = _DAMAGE.get(name, "")
+        columns = ["CASE WHEN r = 5 THEN NULL ELSE account_id END AS account_id", *([changed] if changed else [])]
+        out.append(
+            f"x_{name} AS (SELECT * REPLACE ({', '.join(columns)}) FROM (SELECT *, account_id % 11 AS r FROM "
+            f"(SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE account_id % 11 = 6)))"
+        )
+    return out
+
+
 _LOGS = {"login": "login", "battle": "battle", "purchase": "purchase", "progression": "progression",
          "social": "social", "session": "sess"}
 _STAMP = {"login": "login_ts", "battle": "battle_ts", "purchase": "purchase_ts", "progression": "level_up_ts",
@@ -336,6 +391,11 @@ def oracle_sql() -> dict[str, str]:
             """SELECT account_id, "date", is_clan_member FROM clan
             QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY "date" DESC) = 1"""
         ),
+        "running_level_by_range": _sql("SELECT account_id, level_up_ts, new_level FROM progression"),
+        "busiest_account_numbered": _sql(
+            """SELECT account_id AS visitor, event_date, row_number() OVER (ORDER BY account_id, event_date) AS number
+            FROM sess"""
+        ),
         # projections and scalar functions
         "created_filter": _sql(
             """SELECT account_id, login_ts, created_at AS since FROM login JOIN acct USING (account_id)
@@ -414,6 +474,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         # quality
         "quality_counts": _sql(_checks()),
+        "checks_on_write": _sql(_checks_with_unique({name: f"x_{name}" for name, _ in _rules()}), *_damaged()),
+        "checks_kept": _sql(
+            _checks_with_unique({
+                "battle": "f_battle", "social_enriched": "x_clan", "purchase_enriched": "f_enriched",
+                "spender_tier": "f_tier", "purchase_velocity": "f_velocity",
+            }),
+            """x_clan AS (SELECT * FROM f_social_enriched UNION ALL SELECT f.* FROM f_social_enriched f
+            JOIN clan c ON c.account_id = f.account_id AND c."date" = f.observation_date WHERE f.account_id % 5 = 0)""",
+        ),
         "repeated_keys": _sql(
             """SELECT account_id, event_date, COUNT(*) AS row_count FROM login
             GROUP BY account_id, event_date HAVING COUNT(*) > 1"""
@@ -455,7 +524,21 @@ def oracle_sql() -> dict[str, str]:
         "feature_slice": _sql(
             "SELECT * FROM f_progression WHERE observation_date IN (SELECT d FROM restated)", RESTATED
         ),
+        "feature_slice_from_state": _sql(
+            """SELECT * FROM f_progression WHERE observation_date > (SELECT observation_date
+            FROM (SELECT *, row_number() OVER (ORDER BY observation_date) - 1 AS i, COUNT(*) OVER () AS n FROM spine)
+            WHERE i = n // 2)"""
+        ),
+        "refresh_by_parts": _sql(
+            "SELECT * FROM f_battle JOIN f_progression USING (account_id, observation_date)"
+        ),
+        "stored_prediction_after_append": _sql(
+            f"""SELECT x.account_id, x.observation_date, a.account_age_days, b.win_rate_7d, g.level_ups_7d,
+            g.current_level, s.messages_7d FROM eligible x {PIT_JOINS}"""
+        ),
+        "refresh_new_accounts": _sql("SELECT * FROM f_battle"),
     }
+    sql["carried_snapshot"] = sql["carry_forward_snapshot"]
     training = _sql(
         f"SELECT x.account_id, x.observation_date, {CHURN}, x.did_login_within_7d FROM labels x {PIT_JOINS}"
     )

@@ -14,9 +14,11 @@ from tidemark.contracts import (
     KEYS,
     LOG_TIMESTAMP,
     OBSERVED,
+    SOURCE_DATE,
     SPEND_COLUMNS,
     TABLE_COLUMNS,
     conform,
+    schema_of,
 )
 from tidemark.functions import columns as C
 from tidemark.maintain import (
@@ -49,6 +51,8 @@ from tidemark.operators.sequence import (
     expand_rows,
     latest_per_key,
     max_per_key,
+    running_level,
+    running_number,
 )
 from tidemark.operators.windows import TO_DATE, back_to, daily_partials, last_dates, next_dates
 from tidemark.plans.datasets import (
@@ -65,6 +69,7 @@ from tidemark.plans.features import (
     PROGRESSION,
     SESSION,
     SOCIAL,
+    Carry,
     build_table,
     fan_in,
     full_axis,
@@ -74,7 +79,7 @@ from tidemark.plans.features import (
     window_table,
 )
 from tidemark.plans.labels import eligibility_prediction, label_axis
-from tidemark.quality import duplicate_keys, misdated_rows, quality_report
+from tidemark.quality import REPORT_SCHEMA, duplicate_keys, misdated_rows, quality_report, write_checked
 from tidemark.sources import roles
 from tidemark.sources.roles import role_sources
 from tidemark.sources.tables import append, clear_dates, overwrite, read_table
@@ -351,6 +356,24 @@ def running_level_rows(spark, sf_dir):
     return roles.progression(spark, sf_dir).select(ENTITY, "level_up_ts", "new_level")
 
 
+@query("running_level_by_range")
+def running_level_by_range(spark, sf_dir):
+    """The same numbers from ranges of equal size, which split any account and any minute."""
+    levels = running_level(roles.level_ups(spark, sf_dir), spread="range")
+    return levels.select(ENTITY, "level_up_ts", "new_level")
+
+
+@query("busiest_account_numbered")
+def busiest_account_numbered(spark, sf_dir):
+    """All events as one account's, without their times: the one key and the one (missing) time hold every row."""
+    events = roles.session(spark, sf_dir).select(
+        F.lit(0).cast("long").alias(ENTITY), F.lit(None).cast("timestamp").alias("session_ts"),
+        F.col(ENTITY).alias("visitor"), EVENT_DATE,
+    )
+    numbered = running_number(events, ENTITY, "session_ts", "number", spread="range")
+    return numbered.select("visitor", EVENT_DATE, "number")
+
+
 @query("continue_level")
 def continue_level_rows(spark, sf_dir):
     """The level-ups of the newest date, numbered onward from the log before it."""
@@ -609,18 +632,83 @@ def published_table(spark, sf_dir):
     return conform(read_table(spark, path), "battle")
 
 
+def _store(spark, sf_dir, purpose: str, before: F.Column | None = None) -> FeatureStore:
+    """A store of the benchmark's source tables, or of their rows before a date."""
+    sources = role_sources(spark, sf_dir)
+    if before is not None:
+        cut = {n: sources[n].where(F.col(SOURCE_DATE[n]) < before) for n in SOURCE_DATE}
+        sources = sources.replace(**cut)
+    store = FeatureStore(spark, shared_folder(spark, purpose))
+    store.load(sources)
+    return store
+
+
+def _append_newest(spark, sf_dir, store: FeatureStore) -> None:
+    """Add the rows of the newest login date, as a daily job would."""
+    sources = role_sources(spark, sf_dir)
+    day = store.next_day()
+    store.append_day({n: sources[n].where(F.col(SOURCE_DATE[n]) == F.lit(day)) for n in SOURCE_DATE}, day)
+
+
+def _newest_login(spark, sf_dir) -> F.Column:
+    return F.lit(roles.login(spark, sf_dir).agg(F.max(EVENT_DATE)).first()[0])
+
+
 @query("refresh_slice")
 def refresh_slice(spark, sf_dir):
     """The stored social table after a restatement and a refresh of the dates it affects."""
-    store = FeatureStore(spark, shared_folder(spark, "refresh"))
-    store.load(role_sources(spark, sf_dir))
+    store = _store(spark, sf_dir, "refresh")
     store.publish(["social"])
     dates = restatement_dates(store.sources()["login"])
-    restate_dates(store.source_root, {"social": _social_from_logins(spark, sf_dir)}, dates)
-    store.refresh({"social": dates}, names=["social"])
+    store.restate_dates({"social": _social_from_logins(spark, sf_dir)}, dates)
+    store.refresh(names=["social"])
     return conform(store.table("social"), "social")
 
 
+@query("refresh_by_parts")
+def refresh_by_parts(spark, sf_dir):
+    """Battle and level tables after a day was appended and each was refreshed by a run of its own."""
+    store = _store(spark, sf_dir, "parts", _newest_login(spark, sf_dir))
+    store.publish(["battle", "progression"])
+    _append_newest(spark, sf_dir, store)
+    store.refresh(names=["battle"])
+    store.refresh(names=["battle", "progression"])
+    return fan_in(conform(store.table("battle"), "battle"), conform(store.table("progression"), "progression"))
+
+
+@query("stored_prediction_after_append")
+def stored_prediction_after_append(spark, sf_dir):
+    """The scoring set of a store that took in its newest day in two partial refreshes."""
+    store = _store(spark, sf_dir, "scoring", _newest_login(spark, sf_dir))
+    names = ["account", "battle", "progression", "social"]
+    store.publish(names)
+    _append_newest(spark, sf_dir, store)
+    store.refresh(names=names[1:3])
+    store.refresh(names=names)
+    return store.prediction_set(["account_age_days", "win_rate_7d", "level_ups_7d", "current_level", "messages_7d"])
+
+
+@query("refresh_new_accounts")
+def refresh_new_accounts(spark, sf_dir):
+    """The battle table after every seventh account came later: stored without them, then merged in."""
+    store = _store(spark, sf_dir, "accounts")
+    sources = role_sources(spark, sf_dir)
+    late = F.col(ENTITY) % 7 == 0
+    overwrite(sources["account"].where(~late), f"{store.source_root}/account")
+    store.publish(["battle"])
+    overwrite(sources["account"], f"{store.source_root}/account")
+    store.refresh(names=["battle"], accounts=sources["account"].where(late).select(ENTITY))
+    return conform(store.table("battle"), "battle")
+
+
+@query("carried_snapshot")
+def carried_snapshot(spark, sf_dir):
+    """The next day's snapshot from the state that appends keep, without the snapshot's history."""
+    store = _store(spark, sf_dir, "carried", _newest_login(spark, sf_dir))
+    _append_newest(spark, sf_dir, store)
+    return store.carried_snapshot(store.next_day())
+
+
 @query("feature_slice")
 def feature_slice(spark, sf_dir):
     """Only the three restated dates of the level table, computed on their own."""
@@ -628,3 +716,64 @@ def feature_slice(spark, sf_dir):
     dates = restatement_dates(sources["login"])
     return build_table(sources, "progression", Axis.of_days(spark, dates))
 
+
+@query("feature_slice_from_state")
+def feature_slice_from_state(spark, sf_dir):
+    """The level table's second half from its stored rows on the date before, and thirty dates of log."""
+    sources = role_sources(spark, sf_dir)
+    days = sorted(r[0] for r in date_spine(sources["login"]).collect())  # one per calendar day
+    before = days[len(days) // 2]
+    path = shared_folder(spark, "state")
+    overwrite(build_table(sources, "progression", Axis.of_days(spark, [before])), path, OBSERVED)
+    carry = Carry(before, read_table(spark, path, schema_of("progression")))
+    return build_table(sources, "progression", Axis.of_days(spark, [d for d in days if d > before]), carry)
+
+
+# --- checks on write ----------------------------------------------------------------------
+
+# Per table: the damage done to the rows of accounts with a remainder modulo 11.
+DAMAGE = {
+    "account": {1: {"account_age_days": "-1"}},
+    "battle": {1: {"win_rate_7d": "2D"}, 2: {"avg_duration_7d": "-1D"}},
+    "purchase": {},
+    "progression": {1: {"current_level": "0"}, 2: {"level_ups_7d": "-1L"}, 3: {"level_ups_7d": "level_ups_30d + 1"}},
+    "social": {1: {"gifts_7d": "-1L"}},
+    "social_enriched": {},
+    "session": {1: {"sessions_7d": "-1L"}, 2: {"avg_session_seconds_7d": "-1D"}, 3: {"sessions_ios_7d": "sessions_7d + 1"}},
+    "spender_tier": {1: {"spender_tier": "'tin'"}},
+    "purchase_velocity": {1: {"spend_7d_total": "-1D"}, 2: {"spend_velocity_7d_over_30d": "1.5D"}},
+    "purchase_enriched": {1: {"enriched_spend_score": "-1D"}},
+}
+
+
+def _damaged(df: DataFrame, table: str) -> DataFrame:
+    """Rows that break every check of their table, missing accounts and repeated keys among them."""
+    columns = {}
+    for rest, changes in DAMAGE[table].items():
+        for column, value in changes.items():
+            text = columns.get(column, column)
+            columns[column] = f"CASE WHEN {ENTITY} % 11 = {rest} THEN {value} ELSE {text} END"
+    columns[ENTITY] = f"CASE WHEN {ENTITY} % 11 = 5 THEN NULL ELSE {ENTITY} END"
+    rows = df.selectExpr(*[f"{columns.get(c, c)} AS {c}" for c in df.columns])
+    return rows.unionAll(rows.where(F.col(ENTITY) % 11 == 6))
+
+
+@query("checks_on_write")
+def checks_on_write(spark, sf_dir):
+    """What the checks count while damaged tables are written: every one of them finds rows."""
+    sources = role_sources(spark, sf_dir)
+    root, counted = shared_folder(spark, "checks"), []
+    for table in DAMAGE:
+        rows = _damaged(build_table(sources, table), table)
+        counted += write_checked(rows, table, f"{root}/{table}")
+    return spark.createDataFrame(counted, REPORT_SCHEMA)
+
+
+@query("checks_kept")
+def checks_kept(spark, sf_dir):
+    """The counts that a publishing run kept: two tables of sound rows, and a snapshot that repeats its rows."""
+    sources = role_sources(spark, sf_dir)
+    store = FeatureStore(spark, shared_folder(spark, "kept"))
+    store.load(sources.replace(membership=sources["membership"].unionAll(sources["membership"].where(F.col(ENTITY) % 5 == 0))))
+    store.publish(["battle", "social_enriched", "purchase_enriched"])
+    return store.quality_log().select(*REPORT_SCHEMA.fieldNames())
