@@ -13,8 +13,7 @@ window covers goes if the same words start at any other place, in the same docum
 4. Automata: a shard numbers its words exactly, confirms the windows that recur, compiles one Aho-Corasick automaton of them
    (pyahocorasick, over word numbers) and streams all its stretches through it, which locates every occurrence.
    A pattern that is located once and not reported by another shard is no repeat.
-5. The located spans return to the documents by the text's key; texts without any are finished without moving
-   (a table of fixed size tells them apart; its errors cost time, never a result).
+5. The located spans return to the documents by the text's name.
 
 Texts are named by 64 bits of hash and their length; two different texts of one length would have to share a
 hash to be confused. A shard holds at most about ``SHARD`` stretches of at most ``2 N`` words, whatever the input.
@@ -41,8 +40,6 @@ from tidemark.llm.support import NOT_SPACE, Rolling, arrow_rows, column_bytes, f
 N, K = 35, 6
 #: Stretches of a phrase from which it has shards of its own, and stretches of a shard.
 HOT, SHARD = 2_000, 2_000
-#: Bits of the table that tells texts with marks from others.
-SLOTS = 1 << 22
 
 
 def least_phrases(h: np.ndarray, first: np.ndarray, n: int = N, k: int = K) -> tuple[np.ndarray, ...]:
@@ -112,53 +109,32 @@ def marks(rows: DataFrame, hot: int = HOT) -> tuple[DataFrame, int]:
     return marked, total
 
 
-def slots(names: DataFrame) -> np.ndarray:
-    """Which of ``SLOTS`` slots the keys of the given texts fall into: a table of fixed size for the tasks."""
-    used = np.zeros(SLOTS, bool)
-    found = names.select(F.pmod("key", F.lit(SLOTS)).cast("int").alias("slot")).distinct().toArrow()
-    used[found.column(0).to_numpy()] = True
-    return used
+def candidates(rows: DataFrame, marked: DataFrame) -> DataFrame:
+    """key, size, text, spots: one text of each name that has marks."""
+    texts = rows.groupBy("key", "size").agg(F.first("text").alias("text"))
+    return texts.join(marked, ["key", "size"]).select("key", "size", "text", "spots")
 
 
-def maybe(rows: DataFrame, used: np.ndarray) -> DataFrame:
-    """The rows whose text may be one of those that ``used`` was made from, and some others."""
-    sent = rows.sparkSession.sparkContext.broadcast(np.packbits(used))
+def regions(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """The words of every candidate stretch of texts with spots: part, salt, key, size, start, words."""
+    for batch in batches:
+        spots, at = batch.column(3).flatten(), batch.column(3).offsets.to_numpy()
+        start, windows, part, salt = (c.to_numpy(zero_copy_only=False) for c in spots.flatten())
+        at = at - at[0]
+        key, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for i, j, data, offsets in text_slices(batch):
+            begin, end, first = spans(data, offsets, NOT_SPACE)
+            mine = np.arange(at[i], at[j])
+            owner = np.repeat(np.arange(i, j), np.diff(at[i : j + 1]))
+            word = first[owner - i] + start[mine]
+            last = word + windows[mine] + N - 2
+            raw = data.tobytes()
+            text = [b" ".join(raw[a:e].split()) for a, e in zip(begin[word].tolist(), end[last].tolist(), strict=True)]
+            shard = np.where(salt[mine] == 0, part[mine] % shards, part[mine])
+            yield arrow_rows(part=shard, salt=salt[mine], key=key[owner], size=size[owner], start=start[mine], words=(text, pa.binary()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(sent.value).astype(bool)
-        at = rows_schema.index("key")
-        for batch in batches:
-            yield batch.filter(pa.array(table[batch.column(at).to_numpy() % SLOTS]))
-
-    rows_schema = rows.columns
-    return rows.mapInArrow(run, rows.schema)
-
-
-def regions(rows: DataFrame, marked: DataFrame, shards: int) -> DataFrame:
-    """The words of every candidate stretch: part, salt, key, size, start, words. One text of each name is read."""
-    near = maybe(rows.select("key", "size", "text"), slots(marked))
-    texts = near.groupBy("key", "size").agg(F.first("text").alias("text")).join(marked, ["key", "size"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spots, at = batch.column(3).flatten(), batch.column(3).offsets.to_numpy()
-            start, windows, part, salt = (c.to_numpy(zero_copy_only=False) for c in spots.flatten())
-            at = at - at[0]
-            key, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for i, j, data, offsets in text_slices(batch):
-                begin, end, first = spans(data, offsets, NOT_SPACE)
-                mine = np.arange(at[i], at[j])
-                owner = np.repeat(np.arange(i, j), np.diff(at[i : j + 1]))
-                word = first[owner - i] + start[mine]
-                last = word + windows[mine] + N - 2
-                raw = data.tobytes()
-                text = [b" ".join(raw[a:e].split()) for a, e in zip(begin[word].tolist(), end[last].tolist(), strict=True)]
-                shard = np.where(salt[mine] == 0, part[mine] % shards, part[mine])
-                yield arrow_rows(part=shard, salt=salt[mine], key=key[owner], size=size[owner], start=start[mine], words=(text, pa.binary()))
 
-    return texts.select("key", "size", "text", "spots").mapInArrow(
-        run, "part long, salt int, key long, size int, start int, words binary"
-    )
+_REGION = "part long, salt int, key long, size int, start int, words binary"
 
 
 def window_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -170,22 +146,21 @@ def window_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return g[at], np.repeat(np.arange(len(count)), count), at, first
 
 
-def across_shards(found: DataFrame) -> DataFrame:
+def across_shards(texts: DataFrame) -> DataFrame:
     """(part, salt, windows): of the phrases with several shards, the windows that occur again in another one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in regions(batches, 1):
             part, salt = (batch.column(c).to_numpy() for c in (0, 1))
-            for i, _, data, offsets in text_slices(batch, "words"):
-                window, owner, _, _ = window_hashes(data, offsets)
-                order = np.lexsort((window, salt[i + owner], part[i + owner]))
-                w, p, s = window[order], part[i + owner][order], salt[i + owner][order]
-                new = np.ones(len(w), bool)
-                new[1:] = (w[1:] != w[:-1]) | (p[1:] != p[:-1]) | (s[1:] != s[:-1])
-                at = np.flatnonzero(new)
-                yield arrow_rows(part=p[at], salt=s[at], window=w[at].view(np.int64))
-
-    sent = found.select("part", "salt", "words").mapInArrow(run, "part long, salt int, window long")
+            window, owner, _, _ = window_hashes(*column_bytes(batch.column(5)))
+            order = np.lexsort((window, salt[owner], part[owner]))
+            w, p, s = window[order], part[owner][order], salt[owner][order]
+            new = np.ones(len(w), bool)
+            new[1:] = (w[1:] != w[:-1]) | (p[1:] != p[:-1]) | (s[1:] != s[:-1])
+            at = np.flatnonzero(new)
+            yield arrow_rows(part=p[at], salt=s[at], window=w[at].view(np.int64))
+
+    sent = texts.mapInArrow(run, "part long, salt int, window long")
     seen = stored(sent.groupBy("part", "salt", "window").agg(F.count(F.lit(1)).alias("n")).drop("n"), "windows")
     again = seen.groupBy("part", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     return seen.join(again, ["part", "window"]).groupBy("part", "salt").agg(F.collect_list("window").alias("windows"))
@@ -226,7 +201,7 @@ def located(words: pa.Array, reported: np.ndarray) -> Iterator[tuple[int, int, i
         yield o, int(place[a] - first[o]), int(place[b] - first[o]) + N
 
 
-def spots_of(found: DataFrame, reported: DataFrame) -> DataFrame:
+def spans_of(found: DataFrame, reported: DataFrame) -> DataFrame:
     """(key, size, spans): the words of each text that repeated windows cover, as (first, end), from all shards."""
 
     def locate(found: pa.Table, reported: pa.Table) -> pa.Table:
@@ -293,18 +268,14 @@ def drop_phrases(docs: DataFrame, hot: int = HOT, shard: int = SHARD) -> DataFra
     marked, total = marks(rows, hot)
     shards = max(1, -(-total // shard))
     several = marked.withColumn("spots", F.filter("spots", lambda s: s["salt"] > 0)).where(F.size("spots") > 0)
-    reported = stored(across_shards(regions(rows, several, shards)), "reported")
-    found = stored(spots_of(regions(rows, marked, shards), reported), "spans")
+    reported = stored(across_shards(candidates(rows, several)), "reported")
+    cut = candidates(rows, marked).mapInArrow(lambda batches: regions(batches, shards), _REGION)
+    found = stored(spans_of(cut, reported), "spans")
     copies = rows.select("key", "size").groupBy("key", "size").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     names = stored(
         found.join(copies, ["key", "size"], "full").select("key", "size", F.col("n").isNotNull().alias("copied"), "spans"), "names"
     )
-    used = slots(names)
-    touched = maybe(rows, used).join(names, ["key", "size"], "left")
-    others = maybe(rows, ~used)
-    columns = ["doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "spans"]
-    none = F.lit(None).cast(names.schema["spans"].dataType).alias("spans")
-    return without(touched.select(*columns)).unionAll(without(others.select("doc_id", "text", F.lit(False).alias("copied"), none)))
+    return without(rows.join(names, ["key", "size"], "left").withColumn("copied", F.coalesce("copied", F.lit(False))))
 
 
 def oracle_sql(n: int = N) -> str:
