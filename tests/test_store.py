@@ -21,7 +21,7 @@ from tidemark.operators.windows import TO_DATE, Rolling, Span, attach
 from tidemark.plans.features import Carry, build_table
 from tidemark.quality import EXPECTATIONS, KEY_CHECK, UNIQUE_CHECK, counts, watch, write_checked
 from tidemark.sources import files
-from tidemark.sources.tables import clear_dates, inline_dates, overwrite, read_table, replace_dates
+from tidemark.sources.tables import clear_dates, inline_dates, overwrite, read_table, replace_dates, save_dataset
 
 SPAN = 14
 
@@ -366,3 +366,78 @@ def test_rows_expand_in_chunks(spark):
     got = expand_rows(rows, F.col("n"), "copy")
     assert got.schema["copy"].dataType.simpleString() == "int" and got.count() == 250_003
     assert got.where("id = 1").agg(F.min("copy"), F.max("copy"), F.count_distinct("copy")).first() == (1, 250_001, 250_001)
+
+
+# --- datasets and the catalog ------------------------------------------------------------------
+
+
+def test_registered_tables_carry_their_contract(spark, store):
+    store.publish(["battle", "label_login_7d"])
+    assert store.register("known") == ["known.battle", "known.label_login_7d"]
+    assert store.register("known")  # again, after a change of contract
+    found = spark.table("known.battle")
+    assert _same(build_table(store.sources(), "battle"), found)
+    told = {r.col_name: r.comment for r in spark.sql("DESCRIBE known.battle").collect()}
+    assert "key" in told[ENTITY] and "7 days" in told["win_rate_7d"]
+    ddl = spark.sql("SHOW CREATE TABLE known.battle").first()[0]
+    assert "seven dates before it" in ddl and "PARTITIONED BY (observation_date)" in ddl
+    pruned = plan(spark.sql(f"SELECT battles_7d FROM known.battle WHERE observation_date = DATE'{day(3)}'"))
+    assert re.search(r"PartitionFilters: \[[^\]]*observation_date", pruned)
+    spark.sql("DROP SCHEMA known CASCADE")
+    assert store.table("battle").count() > 0  # the rows stay
+
+
+def test_a_strict_store_refuses_missing_keys(spark, tmp_path):
+    s = _random_sources(spark, span=SPAN)
+    broken = s["account"].unionAll(s["account"].limit(1).withColumn(ENTITY, F.lit(None).cast("long")))
+    counted = FeatureStore(spark, str(tmp_path / "counts"))
+    counted.load(s.replace(account=broken))
+    missing = {c.check_name: c.violations for c in counted.publish(["account"])}
+    assert missing[KEY_CHECK] > 0
+    strict = FeatureStore(spark, str(tmp_path / "strict"), strict=True)
+    strict.load(s.replace(account=broken))
+    with pytest.raises(Exception, match="account_id is missing"):
+        strict.publish(["account"])
+    strict.load(s)
+    assert not any(c.violations for c in strict.publish(["account"]))
+
+
+def test_datasets_are_stored_by_path_and_by_name(spark, store, tmp_path):
+    store.publish(["account", "battle", "label_login_7d"])
+    names = ["account_age_days", "battles_7d"]
+    path = str(tmp_path / "set")
+    store.save_training_set(path, names)
+    assert _same(store.training_set(names), read_table(spark, path))
+    store.save_prediction_set(path, ["win_rate_7d"])  # other columns
+    assert _same(store.prediction_set(["win_rate_7d"]), read_table(spark, path))
+    save_dataset(read_table(spark, path).where("win_rate_7d IS NULL"), path)  # over what it reads
+    assert read_table(spark, path).where("win_rate_7d IS NOT NULL").isEmpty()
+    spark.sql("CREATE SCHEMA IF NOT EXISTS sets")
+    for chosen in (names, names[1:]):
+        store.save_training_set("sets.churn", chosen)
+        assert _same(store.training_set(chosen), spark.table("sets.churn"))
+    spark.sql("DROP SCHEMA sets CASCADE")
+
+
+# --- money in doubles --------------------------------------------------------------------------
+
+
+def test_sums_of_doubles_are_exact(spark):
+    from fractions import Fraction
+
+    r = random.Random(6)
+    kinds = [lambda: r.choice([0.1, 19.99, 4.99, 0.01]), lambda: r.uniform(-5, 5), lambda: float(r.randrange(10**9)) + 0.07, lambda: 2.0**-30, lambda: None]
+    rows = [(1 + i % 3, i % 40, r.choice(["gems", "pass", "other"]), r.choice(kinds)()) for i in range(900)]
+    rows += [(4, 5, "gems", float("inf")), (4, 9, "gems", 1.0), (5, 9, "gems", 1.0)]
+    s = sources(spark, account=[(a, 0) for a in range(1, 6)], login=[(1, d) for d in range(40)], purchase=rows)
+    got = {(x.account_id, (x.observation_date - day(0)).days): x for x in build_table(s, "purchase").collect()}
+    text = plan(build_table(s, "purchase"))
+    assert not re.search(r"RangeFrame, -?\d+", text)  # no frame with a moving start
+    for (account, d), x in got.items():
+        for window, column in ((3, "spend_gems_3d"), (90, "spend_gems_90d")):
+            inside = [v for a, e, c, v in rows if a == account and c == "gems" and d - window < e <= d and v is not None]
+            if any(v == float("inf") for v in inside):
+                assert x[column] != x[column]
+            else:
+                assert x[column] == pytest.approx(float(sum(map(Fraction, inside))), rel=3e-16, abs=0), (account, d, column)
+    assert got[4, 4].spend_gems_3d == 0.0 and got[4, 9].spend_gems_3d == 1.0  # out of range only while in the window

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ENTITY = "account_id"
@@ -100,6 +101,25 @@ FEATURE_TABLES = [
 ]
 
 
+def column_comment(table: str, column: str) -> str:
+    """What a column of a feature table is, for catalogs."""
+    if column == ENTITY:
+        return "Account; part of the key."
+    if column == OBSERVED:
+        return "Date as of which the row holds; part of the key."
+    days = column.rsplit("_", 1)[-1]
+    return f"{TABLE_COMMENTS[table][:-1]}: {column.replace('_', ' ')}" + (f" (window of {days[:-1]} days)" if days[:-1].isdigit() else "")
+
+
+def required(df: DataFrame) -> DataFrame:
+    """``df`` with its keys declared NOT NULL by raising an error on a row that lacks one."""
+    told = {
+        k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"{k} is missing in a row that is being stored"))).otherwise(F.col(k))
+        for k in KEYS
+    }
+    return df.withColumns(told)
+
+
 def schema_of(table: str) -> T.StructType:
     """Declared schema of a feature table: both keys NOT NULL, then its columns."""
     keys = [T.StructField(ENTITY, T.LongType(), False), T.StructField(OBSERVED, T.DateType(), False)]
@@ -109,8 +129,8 @@ def schema_of(table: str) -> T.StructType:
 def conform(df: DataFrame, table: str, money_scale: int | None = None) -> DataFrame:
     """Select, order and cast the columns of ``df`` to the contract of ``table``.
 
-    Spark cannot promise NOT NULL for a computed column, so key nullability is left to the
-    quality checks. ``money_scale`` records the decimal places of exactly summed spend columns
+    Spark cannot promise NOT NULL for a computed column: a store counts missing keys, or refuses
+    them (``required``). ``money_scale`` records the decimal places of exactly summed spend columns
     in their metadata, which parquet keeps, so later sums of them can stay exact.
     """
     fields = []

@@ -20,6 +20,7 @@ from tidemark.contracts import (
     OBSERVED,
     SOURCE_COLUMNS,
     SOURCE_DATE,
+    required,
     schema_of,
 )
 from tidemark.manifest import Manifest
@@ -43,10 +44,12 @@ from tidemark.sources.tables import (
     Sources,
     append,
     clear_dates,
+    declare_table,
     inline_dates,
     overwrite,
     read_table,
     replace_dates,
+    save_dataset,
     write_sources,
 )
 
@@ -240,11 +243,14 @@ class FeatureStore:
     otherwise, by naming the dates or accounts to ``refresh``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, strict: bool = False):
+        """``buckets`` sets in how many parts a date is written; ``strict`` refuses rows without a key instead of
+        counting them."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.source_root = f"{self.root}/sources"
         self._buckets = buckets
+        self.strict = strict
 
     # --- reading ----------------------------------------------------------------------------
 
@@ -442,7 +448,11 @@ class FeatureStore:
 
     def _whole(self, sources: Sources, name: str) -> list[Counted]:
         rows, also = self._built(sources, name)
-        return write_checked(rows, name, self.path(name), buckets=self.buckets, also=also)
+        return self._written(rows, name, also=also)
+
+    def _written(self, rows: DataFrame, name: str, dates: Iterable[dt.date] | None = None, also: Sequence[str] = ()) -> list[Counted]:
+        rows = required(rows) if self.strict else rows
+        return write_checked(rows, name, self.path(name), dates=dates, buckets=self.buckets, also=also)
 
     @staticmethod
     def _built(sources: Sources, name: str, axis: Axis | None = None, carry: Carry | None = None):
@@ -451,6 +461,25 @@ class FeatureStore:
             return enriched_with_parts(sources, axis), ("spender_tier", "purchase_velocity")
         return build_table(sources, name, axis, carry), ()
 
+    def register(self, schema: str) -> list[str]:
+        """Make the published tables known in a catalog schema, with their contracts. Returns their names.
+
+        The entries point at the store's folders and list the dates that these have now; call it again after later writes.
+        """
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        names = [n for n in PUBLISHED if n in self.manifest.tables]
+        for name in names:
+            declare_table(self.spark, f"{schema}.{name}", name, self.path(name))
+        return [f"{schema}.{n}" for n in names]
+
+    def save_training_set(self, target: str, names: Sequence[str] = CHURN_FEATURES) -> None:
+        """Store the training set in a folder or under a catalog name, replacing what was there."""
+        save_dataset(self.training_set(names), target)
+
+    def save_prediction_set(self, target: str, names: Sequence[str] = CHURN_FEATURES) -> None:
+        """Store the scoring set in a folder or under a catalog name, replacing what was there."""
+        save_dataset(self.prediction_set(names), target)
+
     def _lists(self, sources: Sources, spine: Sequence[dt.date], manifest: Manifest) -> Manifest:
         """Store the accounts to score and the spine."""
         overwrite(eligibility_prediction(sources), self.path("eligibility_prediction"))
@@ -527,7 +556,7 @@ class FeatureStore:
         if days:
             carry = None if people else self._carry(name, old, new, days)
             rows, also = self._built(sources, name, Axis.of_days(self.spark, days), carry)
-            done.checks += write_checked(rows, name, self.path(name), dates=days, buckets=self.buckets, also=also)
+            done.checks += self._written(rows, name, days, also)
         merged = self._merge_accounts(name, sources, people, sorted(set(new) - days), done) if people else set()
         gone = set(old) - set(new)
         clear_dates(self.spark, self.path(name), OBSERVED, gone)
@@ -575,7 +604,7 @@ class FeatureStore:
         staged = shared_folder(self.spark, f"merge-{name}")
         overwrite(both, staged)
         table = self.spark.read.schema(both.schema).parquet(staged)
-        done.checks += write_checked(table, name, self.path(name), dates=days, buckets=self.buckets)
+        done.checks += self._written(table, name, days)
         discard(self.spark, staged)
         return set(days)
 

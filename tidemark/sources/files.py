@@ -65,6 +65,14 @@ def read_text(spark: SparkSession, path: str) -> str:
         source.close()
 
 
+def put_in_place(spark: SparkSession, draft: str, path: str) -> None:
+    """Move a finished folder to ``path``; what was there is deleted first."""
+    system, where = _located(spark, path)
+    system.delete(where, True)
+    if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(draft), where):
+        raise FileExistsError(f"{path} could not be put in place; the rows are in {draft}")
+
+
 # --- tables laid out by date ----------------------------------------------------------------
 
 _TOMBSTONES = "_tombstones-"

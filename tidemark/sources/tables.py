@@ -5,14 +5,23 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
 from functools import partial
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.contracts import CATALOG_NAMES, SOURCE_COLUMNS, SOURCE_DATE
-from tidemark.sources.files import remove_dates
+from tidemark.contracts import (
+    CATALOG_NAMES,
+    OBSERVED,
+    SOURCE_COLUMNS,
+    SOURCE_DATE,
+    TABLE_COMMENTS,
+    column_comment,
+    schema_of,
+)
+from tidemark.sources.files import put_in_place, remove_dates
 
 
 class Sources(Mapping[str, DataFrame]):
@@ -135,6 +144,42 @@ def save_table(df: DataFrame, name: str, layout: str | None = None) -> None:
     _writer(df, layout, "overwrite").option("partitionOverwriteMode", "static").saveAsTable(name)
 
 
+def save_dataset(df: DataFrame, target: str) -> None:
+    """Replace a dataset, its columns included. ``target`` is a folder (it has a slash) or a name in the catalog.
+
+    A folder is written beside and put in place of the old one, so that ``df`` may read the dataset that it replaces.
+    """
+    if "/" not in target:
+        save_table(df, target)
+        return
+    spark, draft = df.sparkSession, f"{target.rstrip('/')}.{uuid4().hex}"
+    overwrite(df, draft)
+    put_in_place(spark, draft, target)
+
+
+def declare_table(spark: SparkSession, name: str, table: str, location: str) -> None:
+    """A catalog entry for a stored feature table under its contract: columns in order, types, comments.
+
+    The rows stay where they are; the entry is replaced, so a changed contract takes effect. Spark's file tables drop
+    the NOT NULL of a declaration; a strict store refuses such rows when it writes.
+    """
+    fields = schema_of(table).fields
+    columns = [
+        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'} COMMENT '{_quoted(column_comment(table, f.name))}'"
+        for f in fields
+    ]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({', '.join(columns)}) USING parquet PARTITIONED BY ({OBSERVED}) "
+        f"LOCATION '{_quoted(location)}' COMMENT '{_quoted(TABLE_COMMENTS[table])}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def append_table(df: DataFrame, name: str, layout: str | None = None) -> None:
     """Add rows to a catalog table."""
     _writer(df, layout, "append").saveAsTable(name)

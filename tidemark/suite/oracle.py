@@ -143,9 +143,15 @@ SOCIAL_RESTATED = f"""{RESTATED}, social2 AS (
     WHERE event_date IN (SELECT d FROM restated))"""
 
 
-def _sql(body: str, *extra: str) -> str:
-    """``body`` with the role and table definitions it may use; DuckDB ignores unused ones."""
-    ctes = [f"{name} AS ({text})" for name, text in {**ROLES, **TABLES}.items()]
+def _sql(body: str, *extra: str, quarters: bool = False) -> str:
+    """``body`` with the role and table definitions it may use; DuckDB ignores unused ones.
+
+    With ``quarters`` amounts are doubles in whole quarters.
+    """
+    roles = dict(ROLES)
+    if quarters:
+        roles["purchase"] = f"SELECT * REPLACE (CAST(floor(amount_usd * 4) AS DOUBLE) / 4 AS amount_usd) FROM ({ROLES['purchase']})"
+    ctes = [f"{name} AS ({text})" for name, text in {**roles, **TABLES}.items()]
     return f"WITH {', '.join([*ctes, *extra])} {body}"
 
 
@@ -362,6 +368,8 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(f"spend_{c}_{w}d" for c in CATEGORIES for w in SPEND_WINDOWS)
             + " FROM f_purchase"
         ),
+        "spend_in_doubles": _sql("SELECT * FROM f_purchase", quarters=True),
+        "enriched_in_doubles": _sql("SELECT * FROM f_enriched", quarters=True),
         "spend_totals": _sql(
             """SELECT account_id, observation_date, purchases_count_7d, purchases_amount_sum_30d,
             purchases_amount_sum_90d FROM f_purchase"""
@@ -537,6 +545,7 @@ def oracle_sql() -> dict[str, str]:
             g.current_level, s.messages_7d FROM eligible x {PIT_JOINS}"""
         ),
         "refresh_new_accounts": _sql("SELECT * FROM f_battle"),
+        "registered_table": _sql("SELECT * FROM f_battle"),
     }
     sql["carried_snapshot"] = sql["carry_forward_snapshot"]
     training = _sql(
@@ -546,6 +555,7 @@ def oracle_sql() -> dict[str, str]:
     sql |= {
         "training_set": training,
         "training_set_point_in_time": training,
+        "dataset_by_path": training,
         "prediction_set": prediction,
         "prediction_set_point_in_time": prediction,
     }

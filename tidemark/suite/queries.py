@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,7 +83,7 @@ from tidemark.plans.labels import eligibility_prediction, label_axis
 from tidemark.quality import REPORT_SCHEMA, duplicate_keys, misdated_rows, quality_report, write_checked
 from tidemark.sources import roles
 from tidemark.sources.roles import role_sources
-from tidemark.sources.tables import append, clear_dates, overwrite, read_table
+from tidemark.sources.tables import append, clear_dates, overwrite, read_table, save_dataset
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -324,6 +325,22 @@ def spend_pivot(spark, sf_dir):
     return build_table(role_sources(spark, sf_dir), "purchase").select(*KEYS, *SPEND_COLUMNS)
 
 
+@query("spend_in_doubles")
+def spend_in_doubles(spark, sf_dir):
+    """The purchase table from amounts in doubles, as the declared source has them (here whole quarters)."""
+    sources = role_sources(spark, sf_dir)
+    amount = F.floor(F.col("amount_usd") * 4).cast("double") / 4
+    return build_table(sources.replace(purchase=sources["purchase"].withColumn("amount_usd", amount)), "purchase")
+
+
+@query("enriched_in_doubles")
+def enriched_in_doubles(spark, sf_dir):
+    """The enriched purchase table from the same amounts."""
+    sources = role_sources(spark, sf_dir)
+    amount = F.floor(F.col("amount_usd") * 4).cast("double") / 4
+    return build_table(sources.replace(purchase=sources["purchase"].withColumn("amount_usd", amount)), "purchase_enriched")
+
+
 @query("spend_totals")
 def spend_totals(spark, sf_dir):
     totals = ["purchases_count_7d", "purchases_amount_sum_30d", "purchases_amount_sum_90d"]
@@ -654,6 +671,26 @@ def _newest_login(spark, sf_dir) -> F.Column:
     return F.lit(roles.login(spark, sf_dir).agg(F.max(EVENT_DATE)).first()[0])
 
 
+@query("dataset_by_path")
+def dataset_by_path(spark, sf_dir):
+    """The training set stored over an older dataset of other columns, and read back."""
+    path = shared_folder(spark, "dataset")
+    sources = role_sources(spark, sf_dir)
+    save_dataset(prediction_set_from_logs(sources), path)
+    save_dataset(training_set_from_logs(sources), path)
+    return read_table(spark, path)
+
+
+@query("registered_table")
+def registered_table(spark, sf_dir):
+    """The published battle table, found by name in the catalog under its contract."""
+    store = _store(spark, sf_dir, "registered")
+    store.publish(["battle"])
+    schema = f"features_{uuid4().hex}"
+    store.register(schema)
+    return spark.table(f"{schema}.battle").select(*schema_of("battle").fieldNames())
+
+
 @query("refresh_slice")
 def refresh_slice(spark, sf_dir):
     """The stored social table after a restatement and a refresh of the dates it affects."""
