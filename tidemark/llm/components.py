@@ -7,7 +7,7 @@ rows are joined with one row of its least neighbour, a join that adaptive execut
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.llm.support import stored
@@ -16,25 +16,27 @@ from tidemark.llm.support import stored
 def components(links: DataFrame) -> DataFrame:
     """``links(a, b)`` to ``(node, root)`` for every linked node but the roots; ``root`` is the least node."""
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = stored(edges, "links")
-    before = _mark(edges)
+    edges, before = _kept(edges)
     while before[0]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # Joins by exchange: a broadcast would be built on the driver, round after round.
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        joined = large.join(least.hint("merge"), "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
             least.select("u", F.col("m").alias("v"))
         )
-        edges = stored(small.distinct(), "links")
-        after = _mark(edges)
+        edges, after = _kept(small.distinct())
         if after == before:
             break
         before = after
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.xxhash64("v", "u") % 1_000_003).alias("s")).first()
-    return row.n, row.x, row.s
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges stored, and a mark that tells whether a round changed them, observed in the same write."""
+    seen = Observation()
+    marks = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.xxhash64("v", "u") % 1_000_003).alias("s")]
+    kept = stored(edges.observe(seen, *marks), "links")
+    return kept, (seen.get["n"], seen.get["x"], seen.get["s"])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.support import WORD, Rolling, arrow_rows, fold, lower, ship, spans, stored, text_slices
+from tidemark.llm.support import WORD, Rolling, arrow_rows, fold, lower, ship, spans, stored, text_name, text_slices
 
 N, K = 10, 5
 W = N - K + 1
@@ -197,3 +197,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) ->
     return state.select("doc_id", "__n_words", "__hits", "__items").mapInArrow(
         run, f"doc_id {kind}, n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean"
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that hold no benchmark window, with all their columns.
+
+    What a text holds decides, so rows without an id, or that share one, are judged each by their own text.
+    """
+    named = docs.withColumn("__name", text_name())
+    found = contamination(named.select(F.col("__name").alias("doc_id"), "text"), benchmark).where("contaminated")
+    dropped = stored(found.select(F.col("doc_id").alias("__name")).distinct(), "contaminated")
+    return named.join(dropped, "__name", "left_anti").select(*docs.columns)

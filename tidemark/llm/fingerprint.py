@@ -1,7 +1,7 @@
 """Order MinHash fingerprints, with DataFrame functions only.
 
 A text's k-mers are two neighbouring words each (words are cut after 16 characters, which also serves scripts
-without blanks), or five characters where the text is shorter than ``SHORT``. Equal k-mers are numbered by
+without blanks); a single word is a k-mer of its own. It is one kind of k-mer for texts of any length. Equal k-mers are numbered by
 occurrence, so repeats count. Hashes of (k-mer, occurrence) fall into ``TUPLES * WIDTH`` ranges; the least of
 each range is selected, the ``WIDTH`` selected ones of a tuple are put back into text order, and the
 tuple is hashed with its number. Two fingerprints agree in a tuple if the same k-mers were selected
@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TUPLES, WIDTH = 64, 2
-SHORT, CHARACTERS = 400, 5
-_PLACE = 24  # bits of a k-mer's place in the text
+#: Bits of a k-mer's place in the text. Places from 2**24 on (texts of some 100 MB) count as one, so that there the order of
+#: hashes stands in for the order of the text, in equal texts alike.
+_PLACE = 24
 _RANGE = 7  # bits of TUPLES * WIDTH
 #: Text bytes of one id range.
 RANGE_BYTES = 16 << 20
@@ -35,17 +36,10 @@ def _stages(text: str, out: str) -> list[dict[str, Column]]:
     w, h, p, q, m = (f"__{out}_{x}" for x in "whpqm")
     low = F.lit((1 << _PLACE) - 1)
     high = F.lit(((1 << 63) - 1) ^ ((1 << _PLACE) - 1))
-    size = F.length(text)
-    letters = F.transform(
-        F.sequence(F.lit(1), F.greatest(size - CHARACTERS + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(CHARACTERS))
-    )
-    words = F.regexp_extract_all(text, F.lit(r"(\S{1,16})"), F.lit(1))
-    pieces = F.when(size == 0, F.array().cast("array<string>")).when(size < SHORT, letters).otherwise(words)
-    follow = F.when(size < SHORT, F.transform(w, lambda x: F.lit(None).cast("string"))).otherwise(
-        F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0)))
-    )
+    pieces = F.regexp_extract_all(text, F.lit(r"(\S{1,16})"), F.lit(1))
+    follow = F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0)))
     hashed = F.zip_with(w, follow, lambda a, b: F.xxhash64(a, b))
-    hashed = F.when((size >= SHORT) & (F.size(w) > 1), F.slice(hashed, F.lit(1), F.size(w) - 1)).otherwise(hashed)
+    hashed = F.when(F.size(w) > 1, F.slice(hashed, F.lit(1), F.size(w) - 1)).otherwise(hashed)
     placed = F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(high).bitwiseOR(F.least(i, low))))
 
     def same(i, x):  # the entry at i holds the same k-mer as x

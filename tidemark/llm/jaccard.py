@@ -35,13 +35,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.counting import Ranking, grouped, ranked
 from tidemark.llm.support import (
-    NOT_SPACE, Rolling, arrow_rows, column_bytes, distinct, fold, lower, ship, spans, stored, text_bytes, text_slices,
+    NOT_SPACE, Rolling, arrow_rows, column_bytes, distinct, fold, lower, ship, spans, stored, text_bytes, text_name, text_slices,
 )
 
 N = 5
@@ -113,10 +114,9 @@ def prefix(own: np.ndarray, ranking: Ranking, percent: int) -> tuple[np.ndarray,
     return own[chosen[once:]], indexed, (n - once) * (100 + percent) // percent - n
 
 
-def described(docs: DataFrame, ranking: Ranking, percent: int) -> DataFrame:
+def described(docs: DataFrame, sent: Broadcast, percent: int) -> DataFrame:
     """A row per document (doc_id, node, n) and a row per candidate node and batch (node, n, tokens, indexed, reach,
-    shingles)."""
-    sent = docs.sparkSession.sparkContext.broadcast(ranking)
+    shingles). ``sent`` is the ranking."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranking = sent.value
@@ -178,7 +178,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     near = f"100 * least(n, m) >= {percent} * greatest(n, m) AND m <= reach AND n <= reach_m"
     one = sets.select(F.col("node").alias("a"), "n", "reach", F.col("shingles").alias("s"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("reach").alias("reach_m"), F.col("shingles").alias("t"))
-    rows = pairs.join(one, "a").join(two, "b").where(near).select("a", "b", "n", "m", "s", "t")
+    rows = pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").where(near).select("a", "b", "n", "m", "s", "t")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +194,7 @@ def placed(prefixes: DataFrame, groups: DataFrame | None) -> DataFrame:
     """``prefixes`` with the root of each node's group."""
     if groups is None:
         return prefixes.withColumn("root", F.col("node"))
-    return prefixes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return prefixes.join(groups.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def stars(prefixes: DataFrame, turn: int) -> DataFrame:
@@ -206,7 +206,7 @@ def stars(prefixes: DataFrame, turn: int) -> DataFrame:
         return F.struct(own.alias("own"), F.xxhash64("node", F.lit(turn * CHOICES + k)).alias("h"), F.col("node").alias("b"), F.col("root").alias("q"))
 
     lead = prefixes.where("indexed").groupBy("token").agg(*[F.min(order(k)).alias(x) for k, x in enumerate(names)])
-    picked = prefixes.select("token", "node", "root").join(lead, "token").groupBy("node").agg(
+    picked = prefixes.select("token", "node", "root").join(lead.hint("merge"), "token").groupBy("node").agg(
         *[F.min(F.when(F.col(f"{x}.q") != F.col("root"), F.col(x))).alias(x) for x in names]
     )
     return picked.select(F.col("node").alias("a"), F.explode(F.array(*[F.col(f"{x}.b") for x in names])).alias("b")).where("b IS NOT NULL").distinct()
@@ -261,8 +261,9 @@ def group_links(matrix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id (the least doc_id reachable by links)."""
     ship(docs.sparkSession)
-    ranks = ranking(docs)
-    rows = stored(described(docs, ranks, percent), "described")
+    sent = docs.sparkSession.sparkContext.broadcast(ranking(docs))
+    rows = stored(described(docs, sent, percent), "described")
+    sent.destroy()  # nothing reads the ranking from here on
     nodes = rows.where("document").groupBy("node").agg(F.min("doc_id").alias("least"))
     candidates = rows.where("NOT document")
     first = [F.first(c).alias(c) for c in ("n", "reach", "shingles")]
@@ -290,3 +291,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return rows.where("document").join(named, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of every component of linked documents: that with the least doc_id (NULL last).
+
+    Rows are told apart by their texts, whatever their ids; of rows that are equal in every column one stays. Documents
+    without words link with nothing and stay, each of them.
+    """
+    named = docs.withColumn("__name", text_name())
+    rows = near_duplicates(named.select(F.col("__name").alias("doc_id"), "text"), percent).where("n_shingles > 0")
+    rows = stored(rows.select(F.col("doc_id").alias("__name"), F.col("component_id").alias("__group")), "components")
+    several = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__group")
+    found = stored(rows.join(several, "__group").distinct(), "near-duplicates")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("row"))
+    grouped_rows = named.join(found, "__name").withColumn("__order", order)
+    first = grouped_rows.groupBy("__group").agg(F.min("__order").alias("__first"))
+    chosen = grouped_rows.join(first, "__group").where("__order = __first OR (__order.none AND __first.none AND __order.row = __first.row)")
+    alone = named.join(found.select("__name"), "__name", "left_anti")
+    return alone.select(*docs.columns).unionAll(chosen.select(*docs.columns).dropDuplicates())

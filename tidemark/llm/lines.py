@@ -8,9 +8,13 @@ is short. The lists are written to the shared folder, which tells Spark their tr
 broadcasts them if that is small and otherwise joins by host, where adaptive execution splits a hot host.
 The texts are read twice and moved only in that second case. DataFrame functions only.
 
+A line on fewer than ``min_pages`` pages of a host stays, whatever its share: on a host of a few pages every line has a
+large share, and would go. 1 turns that off.
+
 Cases: a NULL host is a host of its own; a NULL text has no lines and stays NULL; an empty text is one
 blank line; a text whose every line goes becomes empty. Repeated rows count as pages of their own.
-Other columns pass through; the working columns have reserved names (``__``).
+Other columns pass through, but for ``n_lines`` and ``n_dropped``, which ``drop_boilerplate`` puts in (``cleaned`` does not);
+the working columns have reserved names (``__``).
 """
 
 from __future__ import annotations
@@ -43,10 +47,8 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_r
     )
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with boilerplate lines cut from ``text``, and ``n_lines``, ``n_dropped`` (of the input's lines)."""
-    docs = docs.drop("n_lines", "n_dropped")
+def _cut(docs: DataFrame, host: str, text: str, max_ratio: float, min_pages: int) -> DataFrame:
+    """``docs`` with boilerplate lines cut from ``text``, and the input's lines counted in ``__n_lines``, ``__n_dropped``."""
     listed = stored(
         boilerplate(docs, host, text, max_ratio, min_pages)
         .groupBy(F.col("__host"))
@@ -62,13 +64,29 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
         joined.withColumn("__lines", lines)
         .withColumn("__kept", kept)
         .withColumn(text, F.array_join("__kept", "\n"))
-        .withColumn("n_lines", F.coalesce(F.size("__lines"), F.lit(0)).cast("long"))
-        .withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-        .withColumn("n_dropped", F.greatest(F.size("__lines") - F.size("__kept"), F.lit(0)).cast("long"))
+        .withColumn("__n_lines", F.greatest(F.coalesce(F.size("__lines"), F.lit(0)), F.lit(0)).cast("long"))
+        .withColumn("__n_dropped", F.greatest(F.size("__lines") - F.size("__kept"), F.lit(0)).cast("long"))
         .drop("__host", "__drop", "__lines", "__kept")
     )
 
 
+def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO,
+                     min_pages: int = MIN_PAGES) -> DataFrame:
+    """``docs`` with boilerplate lines cut from ``text``, and ``n_lines``, ``n_dropped`` (of the input's lines)."""
+    cut = _cut(docs.drop("n_lines", "n_dropped"), host, text, max_ratio, min_pages)
+    return cut.withColumnsRenamed({"__n_lines": "n_lines", "__n_dropped": "n_dropped"})
+
+
+def cleaned(docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO,
+            min_pages: int = MIN_PAGES) -> DataFrame:
+    """``docs`` with boilerplate lines cut, its own columns and no others; ``n_chars``, where there is one, follows the text."""
+    cut = _cut(docs, host, text, max_ratio, min_pages)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, F.length(text).cast(kind)).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
 def oracle_sql(max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> str:
     return f"""
 WITH p AS (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents),

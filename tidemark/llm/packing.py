@@ -301,9 +301,9 @@ class Packer:
 def packed(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, the ids."""
     ship(docs.sparkSession)
-    path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path = vocabulary or default_vocabulary()  # where this executor has it
         pack = Packer(TaskContext.get().partitionId() << 40)
 
         def flush():

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.support import SLICE, NOT_SPACE, WORD, Rolling, arrow_rows, fold, lower, remainder, ship, text_slices
+from tidemark.llm.support import SLICE, NOT_SPACE, WORD, Rolling, arrow_rows, fold, give_back, lower, remainder, ship, text_slices
 
 #: Most labelled documents of each kind that the model is fitted on (the first by a hash of their id).
 FIT_ROWS = 4000
@@ -132,6 +132,8 @@ def gathered(rows: DataFrame, train) -> list:
         texts = [np.frombuffer(t, np.uint8) for _, t, _ in found]
         for name, value in train(texts, np.array([m for _, _, m in found], np.float64)).items():
             yield arrow_rows(name=([name], pa.string()), value=([value], pa.binary()))
+        del found, texts
+        give_back()
 
     # An exchange between the scan of the documents and the one task that fits: only the sample moves.
     return rows.repartition(1).mapInArrow(run, "name string, value binary").collect()

@@ -7,6 +7,8 @@ it with numpy, in slices of whole documents of about ``SLICE`` bytes so that tem
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -70,6 +72,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks, and what it holds counts against its executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def text_name(column: str = "text"):
+    """A name for a text: its hash and length. Equal texts share it; NULL has none."""
+    return F.concat_ws(":", F.hex(F.xxhash64(column)), F.when(F.col(column).isNotNull(), F.octet_length(column)))
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of text in the whole table."""
     return int(docs.agg(F.sum(F.octet_length(column)).alias("n")).first().n or 0)

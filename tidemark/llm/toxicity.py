@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.quality import gathered, sample
-from tidemark.llm.support import SLICE, Rolling, arrow_rows, byte_table, lower, mix, remainder, ship, text_slices
+from tidemark.llm.support import SLICE, Rolling, arrow_rows, byte_table, give_back, lower, mix, remainder, ship, text_slices
 
 BITS, DIM, SPAN = 17, 16, 4
 #: Most labelled documents of each kind that the model is fitted on (the first by a hash of their id).
@@ -230,6 +230,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 first, n, words, buckets = subwords(data, offsets)
                 out[i:j] = worst_spans(word_scores(folded, words, buckets, n), first, bias)
             yield arrow_rows(doc_id=batch.column(0), score=1 / (1 + np.exp(-np.clip(out, -30, 30))))
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
@@ -248,6 +249,7 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
                 first, n, words, buckets = subwords(data, offsets)
                 good[i:j] = worst_spans(word_scores(folded, words, buckets, n), first, bias) < 0
             yield batch.filter(pa.array(good))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

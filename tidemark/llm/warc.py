@@ -152,15 +152,27 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     names = ["WARC-Record-ID", "WARC-Type", "X-Page-ID", "X-Refers-To-Page-ID", "WARC-Segment-Origin-ID",
              "WARC-Segment-Number", "WARC-Segment-Total-Length", "WARC-Payload-Digest", "WARC-Target-URI"]
 
+    def number(text: bytes | None) -> int | None:
+        """A field's count of at most 18 digits; None if it is something else."""
+        return int(text) if text is not None and text.isdigit() and len(text) <= 18 else None
+
     def parse(value: bytes) -> tuple:
         head, _, rest = value.partition(b"\r\n\r\n")
         found = dict(x.split(b": ", 1) for x in head.split(b"\r\n") if b": " in x)
-        get = lambda n: found[n.encode()].decode() if n.encode() in found else None
-        size = int(found.get(b"Content-Length", b"-1"))
-        status = "ok" if 0 <= size <= len(rest) and rest[size:] == b"\r\n\r\n" else "record length"
-        f = [get(n) for n in names]
-        f[5], f[6] = (int(x) if x is not None else None for x in f[5:7])
-        return (*f, rest[: max(size, 0)], status)
+        size = number(found.get(b"Content-Length"))
+        status = "ok" if size is not None and size <= len(rest) and rest[size:] == b"\r\n\r\n" else "record length"
+        f: list = []
+        for n in names:
+            raw = found.get(n.encode())
+            if n in ("WARC-Segment-Number", "WARC-Segment-Total-Length"):
+                f.append(number(raw))
+                bad = raw is not None and f[-1] is None
+            else:
+                f.append(None if raw is None else raw.decode(errors="replace"))
+                bad = raw is not None and "\ufffd" in f[-1] and b"\xef\xbf\xbd" not in raw
+            if bad and status == "ok":
+                status = "header"
+        return (*f, rest[: size or 0], status)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
