@@ -13,12 +13,11 @@ with; ``n_chars`` follows the text.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, lines, packing, toxicity
 from tidemark.llm.support import stored
 
-#: A model and an encoder are no SQL; the test compares each stage with a brute-force version.
+#: A model and an encoder are no SQL; the tests compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 
@@ -32,21 +31,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = lines.drop_boilerplate(docs)
-    changed = F.col("n_dropped") > 0
-    return out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return lines.cleaned(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard.near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    dropped = stored(found, "near-duplicates")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return jaccard.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
-    dropped = stored(found.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return decontaminate.clean(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
