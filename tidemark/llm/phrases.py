@@ -6,7 +6,7 @@ window covers goes if the same words start at any other place, in the same docum
 1. Candidates: every window marks the least ``K``-word phrase in it (the first of equal ones). Windows in a row that mark the
    same place are one stretch. Equal windows mark equal phrases at equal distance, so only stretches
    whose phrase is marked at another place as well can hold a repeated window. Phrases are counted by hash with
-   map-side combine, and joined back, where adaptive execution splits a frequent one.
+   map-side combine, and joined back; the few very common ones are sent to where the stretches are.
 2. Equal texts are one from here on; all windows of a text that has copies are repeated.
 3. Shards: the words of each candidate stretch go to the shard of its phrase. A phrase with more than ``HOT`` stretches
    has shards of its own, by place; which of its windows occur in several of them is counted by window hash first.
@@ -40,6 +40,8 @@ from tidemark.llm.support import NOT_SPACE, Rolling, arrow_rows, column_bytes, f
 N, K = 35, 6
 #: Stretches of a phrase from which it has shards of its own, and stretches of a shard.
 HOT, SHARD = 2_000, 2_000
+#: Share of all stretches, as one in so many, from which a phrase counts as common.
+_COMMON = 10_000
 
 
 def least_phrases(h: np.ndarray, first: np.ndarray, n: int = N, k: int = K) -> tuple[np.ndarray, ...]:
@@ -98,12 +100,18 @@ def marks(rows: DataFrame, hot: int = HOT) -> tuple[DataFrame, int]:
     place = F.xxhash64("key", "size", "start")
     # Copies of a text mark the same place of it: they alone make no phrase a candidate.
     uses = found.groupBy("phrase").agg(F.min(place).alias("one"), F.max(place).alias("other"), F.count(F.lit(1)).alias("uses"))
-    uses = uses.where("one <> other").select("phrase", "uses")
+    uses = stored(uses.where("one <> other").select("phrase", "uses"), "phrases")
     spread = F.pmod(place, F.ceil(F.col("uses") / hot)) + 1
     spot = F.struct(
         "start", "windows", F.col("phrase").alias("part"), F.when(F.col("uses") > hot, spread).otherwise(F.lit(0)).cast("int").alias("salt")
     )
-    marked = found.join(uses, "phrase").groupBy("key", "size").agg(F.collect_set(spot).alias("spots"))
+    # A phrase with more than a ten-thousandth of all stretches would make one task of the join: there are fewer than
+    # ten thousand of them, and they are sent to the stretches instead.
+    share = found.count() // _COMMON + 1
+    common = F.broadcast(uses.where(F.col("uses") > share))
+    rest = found.join(common.select("phrase"), "phrase", "left_anti").join(uses.where(F.col("uses") <= share), "phrase")
+    joined = found.join(common, "phrase").unionByName(rest)
+    marked = joined.groupBy("key", "size").agg(F.collect_set(spot).alias("spots"))
     marked = stored(marked, "marks")
     total = marked.agg(F.sum(F.size("spots")).alias("n")).first().n or 0
     return marked, total
