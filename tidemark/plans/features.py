@@ -18,6 +18,7 @@ from tidemark.contracts import (
     OBSERVED,
     PAYLOAD_SCHEMA,
     SOCIAL_COLUMNS,
+    SPEND_COLUMNS,
     SPEND_WINDOWS,
     TABLE_COLUMNS,
     conform,
@@ -109,6 +110,11 @@ def money_scale(kind: T.DataType) -> int | None:
     return 0 if isinstance(kind, T.IntegralType) else None
 
 
+def is_exact(purchase: DataFrame) -> bool:
+    """Whether a stored purchase table records the decimal places of its sums, so that sums of them stay exact."""
+    return all(purchase.schema[c].metadata.get("money_scale") is not None for c in SPEND_COLUMNS)
+
+
 def _is_double(schema: T.StructType) -> bool:
     return isinstance(schema["amount_usd"].dataType, T.DoubleType)
 
@@ -446,9 +452,13 @@ def build_table(sources: Sources, name: str, axis: Axis | None = None, carry: Ca
     return window_table(WINDOW_TABLES[name], sources, axis, carry=carry)
 
 
-def enriched_with_parts(sources: Sources, axis: Axis | None = None) -> DataFrame:
-    """The enriched purchase table with the tier and velocity columns it is made of, for checks on all three."""
-    purchase = rolled(PURCHASE, sources, axis or full_axis(sources))
+def enriched_with_parts(sources: Sources, axis: Axis | None = None, purchase: DataFrame | None = None) -> DataFrame:
+    """The enriched purchase table with the tier and velocity columns it is made of, for checks on all three.
+
+    ``purchase`` is the stored purchase table, if it is current and its sums are exact (see ``is_exact``).
+    """
+    if purchase is None:
+        purchase = rolled(PURCHASE, sources, axis or full_axis(sources))
     parts = purchase.withColumns({**tier_columns(), **velocity_columns(purchase.schema)})
     flags = flag_columns(F.col("spender_tier"), F.coalesce("spend_velocity_7d_over_30d", F.lit(0.0)))
     columns = {f.name: f.dataType for t in ("purchase_enriched", "spender_tier", "purchase_velocity") for f in schema_of(t)}
