@@ -19,7 +19,7 @@ from tidemark.operators.joins import range_join
 from tidemark.operators.sequence import expand_rows, ranged, running_number
 from tidemark.operators.windows import TO_DATE, Rolling, Span, attach
 from tidemark.plans.features import Carry, build_table
-from tidemark.quality import EXPECTATIONS, KEY_CHECK, UNIQUE_CHECK, counts, watch, write_checked
+from tidemark.quality import EXPECTATIONS, KEY_CHECK, UNIQUE_CHECK, counts, watch_keys, write_checked
 from tidemark.sources import files
 from tidemark.sources.tables import clear_dates, inline_dates, overwrite, read_table, replace_dates, save_dataset
 
@@ -213,7 +213,7 @@ def test_checks_are_counted_in_the_write(spark, tmp_path, buckets):
 def test_the_check_of_keys_adds_one_exchange(spark):
     rows = build_table(_random_sources(spark, span=SPAN), "battle")
     exchanges = lambda df: len(re.findall(r"[-: ]Exchange\b", plan(df)))
-    watched, _ = watch(rows, "battle")
+    watched, _ = watch_keys(rows, "battle")
     assert exchanges(watched) == exchanges(rows) + 1
     # The writer's order by date is there already: one sort for the check and for the files.
     sorts = lambda df: len(re.findall(r"[-: ]Sort\b", plan(df)))
@@ -223,7 +223,7 @@ def test_the_check_of_keys_adds_one_exchange(spark):
 @pytest.mark.parametrize("table", sorted(PUBLISHED))
 def test_a_planted_duplicate_is_found(spark, table):
     rows = build_table(_random_sources(spark, span=SPAN), table)
-    watched, seen = watch(rows.unionAll(rows.limit(1)).repartition(5), table)
+    watched, seen = watch_keys(rows.unionAll(rows.limit(1)).repartition(5), table)
     watched.write.format("noop").mode("overwrite").save()
     assert {c.check_name: c.violations for c in counts(seen, table)}[UNIQUE_CHECK] == 1
 

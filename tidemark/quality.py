@@ -93,9 +93,19 @@ def arranged(df: DataFrame, buckets: int = 1) -> tuple[DataFrame, F.Column]:
     return spread, F.row_number().over(same_key) > 1
 
 
-def watch(df: DataFrame, table: str, buckets: int = 1, also: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+def watch(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
     """Count violations while ``df`` is written or otherwise consumed, without a second pass.
 
+    Read ``observation.get`` after the action: one count per check, and ``row_count``. See ``watch_keys`` for repeated keys.
+    """
+    observation = Observation(f"quality_{table}")
+    metrics = [_violations(p).alias(name) for name, p in checks_of(table).items()]
+    return df.observe(observation, F.count(F.lit(1)).alias("row_count"), *metrics), observation
+
+
+def watch_keys(df: DataFrame, table: str, buckets: int = 1, also: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """``watch``, and rows that repeat a key.
+
     Rows come arranged for a table laid out by date. ``also`` names further tables whose columns the rows carry. Read
     ``counts(observation, table, also)`` after the action.
     """
@@ -125,11 +135,11 @@ def write_checked(
     """
     extra = [c for c in df.columns if c not in _stored_columns(table)] if also else []
     if dates is None:
-        rows, seen = watch(df, table, buckets, also)
+        rows, seen = watch_keys(df, table, buckets, also)
         overwrite(rows.drop(*extra), path, OBSERVED, arranged=True)
     else:
         days = sorted(set(dates))
-        rows, seen = watch(df.where(F.col(OBSERVED).isin(days)), table, buckets, also)
+        rows, seen = watch_keys(df.where(F.col(OBSERVED).isin(days)), table, buckets, also)
         replace_dates(rows.drop(*extra), path, OBSERVED, days, arranged=True)
     return counts(seen, table, also)
 

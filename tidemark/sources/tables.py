@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 from uuid import uuid4
 
@@ -133,10 +134,11 @@ def clear_dates(spark: SparkSession, path: str, layout: str, dates: Iterable[dt.
     remove_dates(spark, path, layout, dates)
 
 
-def write_sources(sources: Sources, root: str) -> None:
-    """Store all source tables under ``root``, event logs and snapshot laid out by date."""
-    for name, df in sources.items():
-        overwrite(df, f"{root}/{name}", SOURCE_DATE.get(name))
+def write_sources(sources: Sources, root: str, at_once: int = 8) -> None:
+    """Store all source tables under ``root``, event logs and snapshot laid out by date; ``at_once`` of them side by side."""
+    frames = dict(sources.items())
+    with ThreadPoolExecutor(at_once) as threads:
+        list(threads.map(lambda n: overwrite(frames[n], f"{root}/{n}", SOURCE_DATE.get(n)), frames))
 
 
 def save_table(df: DataFrame, name: str, layout: str | None = None) -> None:
