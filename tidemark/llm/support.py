@@ -220,14 +220,17 @@ def _reduced(x: np.ndarray) -> np.ndarray:
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**n modulo the prime."""
+    """base**0 .. base**n modulo the prime, in 32 bits each."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
-        have = np.ones(max(n, SLICE) + 1, np.uint64)
+        have = np.ones(max(n, SLICE) + 1, np.uint32)
         done, step = 1, base
         while done < len(have):  # the first powers give as many more
             more = min(done, len(have) - done)
-            have[done : done + more] = _reduced(have[:more] * np.uint64(step))
+            for i in range(0, more, _BLOCK):
+                part = have[i : min(i + _BLOCK, more)].astype(np.uint64)
+                part *= np.uint64(step)
+                have[done + i : done + i + len(part)] = _reduced(part)
             done, step = done + more, step * step % int(_PRIME)
         if n <= _CACHED:
             _powers[base] = have
@@ -237,34 +240,44 @@ def _power(base: int, n: int) -> np.ndarray:
 class Rolling:
     """Polynomial hashes of any byte range: prefix sums in the field of 2**31 - 1, for two bases.
 
-    Two different ranges of n bytes collide with a probability of about (n / 2**31)**2 over the bases.
+    Two different ranges of n bytes collide with a probability of about (n / 2**31)**2 over the bases. A byte takes eight
+    bytes of sums, and sixteen of tables of powers, which are kept for texts of up to ``_CACHED`` bytes.
     """
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        tables = [(np.empty(n + 1, np.uint64), _power(base, n), _power(pow(base, -1, int(_PRIME)), n)) for base in _BASES]
-        high = np.empty(min(_BLOCK, n), np.uint64)
+        tables = [(np.empty(n + 1, np.uint32), _power(base, n), _power(pow(base, -1, int(_PRIME)), n)) for base in _BASES]
+        buffer, carry = np.empty(min(_BLOCK, n), np.uint64), [np.uint64(0)] * len(tables)
         for sums, _, _ in tables:
             sums[0] = 0
         for i in range(0, n, _BLOCK):  # blocks that stay in the processor's cache
             values = _BYTES[data[i : i + _BLOCK]]
-            for sums, powers, _ in tables:
-                terms, h = sums[i + 1 : i + 1 + len(values)], high[: len(values)]
+            terms = buffer[: len(values)]
+            for k, (sums, powers, _) in enumerate(tables):
                 np.multiply(values, powers[i : i + len(values)], out=terms)
-                np.right_shift(terms, _BITS31, out=h)
+                high = terms >> _BITS31
                 np.bitwise_and(terms, _PRIME, out=terms)
-                np.add(terms, h, out=terms)  # below 2**32: the sum of 2**31 of them fits
-                terms[0] += sums[i]
+                np.add(terms, high, out=terms)  # below 2**32
+                terms[0] += carry[k]
                 np.cumsum(terms, out=terms)
+                sums[i + 1 : i + 1 + len(values)] = _reduced(terms)
+                carry[k] = np.uint64(sums[i + len(values)])
         self.parts = [(sums, inverse) for sums, _, inverse in tables]
 
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.empty(len(starts), np.uint64)
         for i in range(0, len(starts), _BLOCK):
             s, e = starts[i : i + _BLOCK], ends[i : i + _BLOCK]
-            h, low = (_reduced(_reduced(sums[e] - sums[s]) * inverse[s]) for sums, inverse in self.parts)
-            h <<= _BITS31
-            h |= low
+            both = []
+            for sums, inverse in self.parts:
+                h = sums[e].astype(np.uint64)
+                h += _PRIME
+                h -= sums[s]
+                h = _reduced(h)
+                h *= inverse[s]
+                both.append(_reduced(h))
+            h = both[0] << _BITS31
+            h |= both[1]
             h += (e - s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
             out[i : i + _BLOCK] = mix(h)
         return out
