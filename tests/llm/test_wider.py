@@ -152,8 +152,9 @@ def passages(seed=1):
 VOCABULARY = ["".join(random.Random(i).choice("abcdefghé,.") for _ in range(2 + i % 5)) for i in range(300)]
 
 
-@pytest.mark.parametrize(("hot", "shard"), [(phrases.HOT, phrases.SHARD), (4, 16)])
-def test_phrases_match_brute_force(spark, hot, shard):
+@pytest.mark.parametrize(("hot", "shard", "common"), [(phrases.HOT, phrases.SHARD, phrases._COMMON), (4, 16, 30)])
+def test_phrases_match_brute_force(spark, monkeypatch, hot, shard, common):
+    monkeypatch.setattr(phrases, "_COMMON", common)
     rows = passages()
     got = phrases.drop_phrases(extra(frame(spark, rows, 5)), hot, shard)
     want = brute_phrases(rows)
