@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.support import arrow_rows, column_bytes, stored
+from tidemark.llm.support import arrow_rows, column_bytes, give_back, stored
 
 #: Uses from which a hash counts as frequent, at first; doubled until the list fits.
 FREQUENT = 32
@@ -107,6 +107,8 @@ def ranked(df: DataFrame, tokens: Callable[[pa.RecordBatch], Iterator[np.ndarray
                     waiting, size = [], 0
         if size:
             yield packed()
+        waiting.clear()
+        give_back()
 
     def count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = np.sort(np.concatenate([unpack(v.as_py()) for b in batches for v in b.column(1)]))
@@ -120,6 +122,8 @@ def ranked(df: DataFrame, tokens: Callable[[pa.RecordBatch], Iterator[np.ndarray
             part=([key[0].as_py()], pa.int32()), table=([np.packbits(table, bitorder="little").tobytes()], pa.binary()),
             value=([value[often].astype(np.uint32).tobytes()], pa.binary()), n=([n[often].astype(np.uint32).tobytes()], pa.binary()),
         )
+        del low, value, table
+        give_back()
 
     sent = df.mapInArrow(send, "part int, low binary")
     counted = stored(sent.groupBy("part").applyInArrow(grouped(count), "part int, table binary, value binary, n binary"), "counts")

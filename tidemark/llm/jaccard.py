@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.counting import Ranking, grouped, ranked
 from tidemark.llm.support import (
-    NOT_SPACE, Rolling, arrow_rows, column_bytes, distinct, fold, lower, ship, spans, stored, text_bytes, text_name, text_slices,
+    NOT_SPACE, Rolling, arrow_rows, column_bytes, distinct, fold, give_back, lower, ship, spans, stored, text_bytes, text_name, text_slices,
 )
 
 N = 5
@@ -148,6 +148,7 @@ def described(docs: DataFrame, sent: Broadcast, percent: int) -> DataFrame:
                 tokens=([None] * n + c_tokens, pa.list_(pa.int64())), indexed=([None] * n + c_indexed, pa.int32()),
                 reach=([None] * n + c_reach, pa.int64()), shingles=([None] * n + c_set, pa.binary()),
             )
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -186,6 +187,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             ok = pa.array(100 * both >= percent * (n + m - both))
             yield batch.select(["a", "b"]).filter(ok)
+        give_back()
 
     return rows.mapInArrow(run, "a binary, b binary")
 
