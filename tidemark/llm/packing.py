@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm.support import Rolling, arrow_rows, ship, text_slices
+from tidemark.llm.support import Rolling, arrow_rows, ship, slices, text_slices
 
 SEQUENCE, END = 2048, 1
 SHARD_BYTES, SHARD_DOCS = 4 << 20, 2048
@@ -298,6 +298,17 @@ class Packer:
             left -= size
 
 
+def in_pieces(encoder: Encoder, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``encode`` by slices of ``SLICE`` bytes, so that its temporaries stay small."""
+    parts, ends, done = [np.zeros(0, np.uint16)], [np.zeros(1, np.int64)], 0
+    for i, j in slices(offsets):
+        ids, where = encoder.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        parts.append(ids)
+        ends.append(where[1:] + done)
+        done += len(ids)
+    return np.concatenate(parts), np.concatenate(ends)
+
+
 def packed(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, the ids."""
     ship(docs.sparkSession)
@@ -323,7 +334,7 @@ def packed(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = Fals
             for i, j, data, offsets in text_slices(batch, "text", SHARD_BYTES):
                 for a in range(0, j - i, SHARD_DOCS):
                     z = min(a + SHARD_DOCS, j - i)
-                    ids, where = encoder(path).encode(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
+                    ids, where = in_pieces(encoder(path), data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
                     pack.shard(names[i + a : i + z], ids, where)
                     yield flush()
         pack.finish()
