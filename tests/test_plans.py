@@ -12,6 +12,7 @@ from tidemark.plans.features import build_table
 from tidemark.plans.labels import eligibility_prediction
 from tidemark.sources import roles as role
 from tidemark.sources.roles import role_sources
+from tidemark.suite.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -62,6 +63,14 @@ def test_training_set_is_one_window_pass(spark):
     assert not re.search(r"SortMergeJoin|ShuffledHashJoin", text)
 
 
+@pytest.mark.parametrize("name", ["trailing_range_join", "trailing_range_join_90d", "forward_range_join"])
+def test_exploded_events_are_not_broadcast(spark, name):
+    # The log itself is far below the size that Spark broadcasts; what follows it has a row per event and day.
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "BroadcastHashJoin [account_id" not in text
+    assert count(text, "SortMergeJoin") == 2 and count(text, "BroadcastNestedLoopJoin") >= 2
+
+
 def test_only_the_spine_is_broadcast_to_the_grid(spark):
     text = plan(build_table(role_sources(spark, SF_DIR), "battle"))
     assert count(text, "BroadcastNestedLoopJoin") == 1
