@@ -154,6 +154,16 @@ def test_near_duplicates_by_row_and_not_by_id(spark):
     assert kept == sorted((i is None, i or 0, t) for i, t in want)
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK, 1])
+def test_decontamination_has_one_python_worker_a_task(spark, block):
+    # Each step in Python takes a worker of its own, which lives on beside the others in its executor.
+    item = "one two three four five six seven eight nine ten eleven"
+    docs = frame(spark, [(1, f"before {item} after", "x"), (2, "none of it", "x"), (3, None, "x")])
+    found = decontaminate.contamination(docs, spark.createDataFrame([(7, item)], "item_id long, text string"), block)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: (r.n_words, r.n_hit, r.items) for r in found.collect()} == {1: (13, 11, ["7"]), 2: (3, 0, []), 3: (0, 0, [])}
+
+
 def test_contaminated_rows_go_whatever_their_id(spark):
     bad, good = prose(5), prose(6)
     items = spark.createDataFrame([(1, bad)], "item_id long, text string")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.support import WORD, Rolling, arrow_rows, fold, lower, ship, spans, stored, text_name, text_slices
+from tidemark.llm.support import WORD, Rolling, arrow_rows, fold, give_back, lower, ship, spans, stored, text_name, text_slices
 
 N, K = 10, 5
 W = N - K + 1
@@ -126,8 +126,9 @@ def fold_at(h: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
     return fold(h[(place[:, None] + np.arange(n)).ravel()], n)[::n]
 
 
-def scan(docs: DataFrame, index: Index) -> DataFrame:
-    """``docs`` with this block's hits added to n_words, hits (first word and words, flat) and items."""
+def scanner(docs: DataFrame, index: Index):
+    """A function on batches of ``docs`` that adds this block's hits to n_words, hits (first word and words, flat) and
+    items."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -152,8 +153,9 @@ def scan(docs: DataFrame, index: Index) -> DataFrame:
                     earlier[d] = [*(earlier[d] or []), *more]
                 columns[name] = pa.array(earlier, pa.list_(kind))
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        give_back()
 
-    return docs.mapInArrow(run, docs.schema)
+    return run
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -167,13 +169,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) ->
     )
     for b in range(blocks):
         part = windows.where(F.pmod(F.col("win"), F.lit(blocks)) == b)  # a window's rows are all in one block
-        state = scan(state, Index(part.toArrow()))
+        scan = scanner(state, Index(part.toArrow()))
         if b + 1 < blocks:
-            state = stored(state, "contamination")
+            state = stored(state.mapInArrow(scan, state.schema), "contamination")
 
+    # The last block's scan and the sums are one function: a task has one worker, and texts do not come back from it.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words, all_hits, all_items = (batch.column(k).to_pylist() for k in (1, 2, 3))
+        for batch in scan(batches):
+            n_words, all_hits, all_items = (batch.column(k).to_pylist() for k in ("__n_words", "__hits", "__items"))
             n_hit, lists = [], []
             for n, hits, items in zip(n_words, all_hits, all_items, strict=True):
                 if not hits:
@@ -187,14 +190,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) ->
                 n_hit.append(int((np.cumsum(edge)[:n] > 0).sum()))
                 lists.append(sorted(set(items or [])))
             yield arrow_rows(
-                doc_id=batch.column(0), n_words=batch.column(1), n_hit=(n_hit, pa.int64()),
+                doc_id=batch.column("doc_id"), n_words=batch.column("__n_words"), n_hit=(n_hit, pa.int64()),
                 n_items=([len(x) for x in lists], pa.int64()), items=(lists, pa.list_(pa.string())),
                 items_sha256=([hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists], pa.string()),
                 contaminated=([x > 0 for x in n_hit], pa.bool_()),
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return state.select("doc_id", "__n_words", "__hits", "__items").mapInArrow(
+    return state.mapInArrow(
         run, f"doc_id {kind}, n_words long, n_hit long, n_items long, items array<string>, items_sha256 string, contaminated boolean"
     )
 

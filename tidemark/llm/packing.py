@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm.support import Rolling, arrow_rows, ship, slices, text_slices
+from tidemark.llm.support import Rolling, arrow_rows, give_back, ship, slices, text_slices
 
 SEQUENCE, END = 2048, 1
 SHARD_BYTES, SHARD_DOCS = 4 << 20, 2048
@@ -339,6 +339,7 @@ def packed(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = Fals
                     yield flush()
         pack.finish()
         yield flush()
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
