@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,6 +18,7 @@ from tidemark.llm import decontaminate, fingerprint, jaccard, lines, packing, pp
 from tidemark.llm.components import components
 from tidemark.llm.counting import pack, unpack
 from tidemark.llm.queries import QUERIES
+from tidemark.llm.support import _BASES, _BYTES, Rolling, _reduced, mix
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -95,6 +97,35 @@ def test_repeats_match_brute_force(docs):
     assert repeats.removed(docs.limit(0)).count() == 0
 
 
+def test_winnowing_by_blocks_is_exact_and_small():
+    rng = np.random.default_rng(3)
+    reach = repeats.WINDOW + repeats.GRAM - 1
+    for size in (0, reach - 1, reach, repeats._BLOCK + reach - 1, repeats._BLOCK + reach, 3 * repeats._BLOCK):
+        data = rng.integers(0, 3, size).astype(np.uint8)
+        grams = [mix(np.frombuffer(data[i : i + repeats.GRAM].tobytes(), np.uint64)) >> np.uint64(32) for i in range(size - repeats.GRAM + 1)]
+        keys = [(int(g[0]), -i) for i, g in enumerate(grams)]
+        want = [-min(keys[i : i + repeats.WINDOW])[1] for i in range(size - reach + 1)]
+        assert repeats.least_places(data).tolist() == want
+    data = rng.integers(0, 256, 1 << 19).astype(np.uint8)
+    tracemalloc.start()
+    repeats.least_places(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * len(data)  # the places themselves, eight bytes each, and one block's temporaries
+
+
+def test_hashes_of_ranges_are_exact():
+    prime, size = (1 << 31) - 1, 40_000
+    for data in (np.full(size, np.argmax(_BYTES), np.uint8), np.random.default_rng(4).integers(0, 256, size).astype(np.uint8)):
+        starts, ends = np.array([0, 0, 5, 16_383, 16_384, 39_999, 7]), np.array([size, 1, 39_000, 16_385, 32_769, size, 7])
+        for s, e, got in zip(starts.tolist(), ends.tolist(), Rolling(data).ranges(starts, ends).tolist(), strict=True):
+            both = [sum(int(_BYTES[c]) * pow(base, k, prime) for k, c in enumerate(data[s:e].tolist())) % prime for base in _BASES]
+            want = (both[0] << 31 | both[1]) + (e - s) * 0x9E3779B97F4A7C15
+            assert got == int(mix(np.array([want & (1 << 64) - 1], np.uint64))[0])
+    x = [0, prime, prime + 1, 2 * prime, (1 << 62) - 1, 1 << 63, (1 << 64) - 1]
+    assert _reduced(np.array(x, np.uint64)).tolist() == [v % prime for v in x]
+
+
 def test_blocks_follow_the_transform():
     symbols = np.array([5, 7, 5, 7, 9, 5, 7], np.uint64)
     follows = np.array([False, True, True, True, True, False, True])
