@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import decontaminate, fingerprint, jaccard, lines, packing, ppm, warc
+from tidemark.llm import components as parts
+from tidemark.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -188,3 +190,47 @@ def test_stages_handle_an_empty_table(spark, tmp_path):
     docs = frame(spark, [(1, "x", "y")]).limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0, name
+
+
+@pytest.mark.parametrize(("task_links", "most"), [(parts.TASK_LINKS, 6), (0, 20)])
+def test_components_with_few_jobs(spark, monkeypatch, task_links, most):
+    # The driver holds a thread for every exchange of the last minute and the plan of every job, and each exchange is a job here.
+    monkeypatch.setattr(parts, "TASK_LINKS", task_links)
+    r = np.random.default_rng(6)
+    links = [(int(a), int(b)) for a, b in r.integers(0, 400, (260, 2))]  # trees, hubs, cycles and loops
+    links += [(1000, k) for k in range(1001, 1100)] + [(k + 1, k) for k in range(2000, 2040)] + [(7, 7), (3000, 3000)]
+    root = {x: x for link in links for x in link}
+    for a, b in links * 60:
+        root[a] = root[b] = min(root[a], root[b])
+    frame_of = spark.createDataFrame(links, "a long, b long")
+    context = spark.sparkContext
+    context.setJobGroup("components", "")
+    try:
+        got = components(frame_of)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(context.statusTracker().getJobIdsForGroup("components"))
+    assert sorted((x.node, x.root) for x in got.collect()) == sorted((n, m) for n, m in root.items() if n != m)
+    assert jobs <= most
+    # Groups that were found stand for the links that made them.
+    tree = max(n for n in root if n < 400)
+    more = components(got.toDF("a", "b").unionAll(spark.createDataFrame([(1050, 2039), (2000, tree)], "a long, b long")))
+    low = {root[1050], root[2039], root[tree]}
+    both = {n: min(low) if m in low else m for n, m in root.items()}
+    assert sorted((x.node, x.root) for x in more.collect()) == sorted((n, m) for n, m in both.items() if n != m)
+    assert components(frame_of.where("a = b")).count() == 0
+
+
+def test_texts_in_no_group_are_not_moved(spark):
+    rows = [(k, prose(k, 300), "x") for k in range(20)] + [(20 + k, prose(0, 300), "x") for k in range(3)]
+    kept = jaccard.one_of_each(frame(spark, rows))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold") if spark.conf.get(k, None)}
+    try:  # as if the groups were too many for a broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = jaccard.one_of_each(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+        assert sorted(r.doc_id for r in jaccard.one_of_each(frame(spark, rows)).collect()) == list(range(20))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -49,6 +49,8 @@ N = 5
 PERCENT = 80
 PART = 32
 ROUNDS, CHOICES = 2, 3
+#: Bits of the table that tells texts in no group from the others, 64 in a row: at most 2**18 rows are sent to the tasks.
+SLOTS = 1 << 24
 #: Text bytes whose shingles one task counts.
 RANGE_BYTES = 24 << 20
 
@@ -192,10 +194,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def placed(prefixes: DataFrame, groups: DataFrame | None) -> DataFrame:
+def placed(prefixes: DataFrame, groups: DataFrame) -> DataFrame:
     """``prefixes`` with the root of each node's group."""
-    if groups is None:
-        return prefixes.withColumn("root", F.col("node"))
     return prefixes.join(groups.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -223,12 +223,13 @@ def group_links(matrix: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     asks = askers.join(targets, "token").where("g <> root AND (n > least OR n = least AND g < root)").select("a", "g").distinct()
     asks = stored(asks, "asks")
     # Part of a group that is asked: its indexed members' sets, those of like size together, in bounded portions.
-    members = matrix.where("indexed").select("node", "root").distinct().join(asks.select(F.col("g").alias("root")).distinct(), "root")
-    members = members.join(sets, "node")
+    members = matrix.where("indexed").select("node", "root", "n", "reach").distinct()
+    members = stored(members.join(asks.select(F.col("g").alias("root")).distinct(), "root"), "asked-members")
     counts = members.groupBy("root", "n").agg(F.count(F.lit(1)).alias("members"))
     members = members.join(counts, ["root", "n"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / PART)).cast("int")
     )
+    members = members.join(sets.select("node", "shingles"), "node")
     members = stored(members.select("root", "part", "node", "n", "reach", "shingles"), "group-members")
 
     def unite(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,18 +277,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Copies in several batches are repeated rows here; a shingle counts if it is indexed and used by two sets.
     used = tokens.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("indexed").alias("any")).where("any AND lo < hi")
     prefixes = stored(tokens.join(used.select("token"), "token", "left_semi").distinct(), "prefixes")
-    links, groups = None, None
+    matrix, groups = prefixes.withColumn("root", F.col("node")), None
     for turn in range(ROUNDS):
-        found = stored(linked(stars(placed(prefixes, groups), turn), sets, percent), "star-links")
+        found = stored(linked(stars(matrix, turn), sets, percent), "star-links")
         if turn and not found.take(1):
             break
-        links = found if links is None else links.unionAll(found)
-        groups = components(links)
-    matrix = stored(placed(prefixes, groups), "token-group-matrix")
+        # The groups so far stand for the links that made them.
+        groups = components(found if groups is None else found.unionAll(groups))
+        matrix = stored(placed(prefixes, groups), "token-group-matrix")
     across = stored(group_links(matrix, sets, percent), "group-links")
-    roots = components(links.unionAll(across)) if across.take(1) else groups
+    roots = components(across.unionAll(groups)) if across.take(1) else groups
     # From nodes to documents: the least id of a component's nodes.
     members = nodes.where("node IS NOT NULL").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = stored(members, "members")
     least = members.groupBy("root").agg(F.min("least").alias("component"))
     named = members.join(least, "root").select("node", "component")
     return rows.where("document").join(named, "node", "left").select(
@@ -306,9 +308,18 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = stored(rows.select(F.col("doc_id").alias("__name"), F.col("component_id").alias("__group")), "components")
     several = rows.groupBy("__group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__group")
     found = stored(rows.join(several, "__group").distinct(), "near-duplicates")
+    # Texts whose bit is not set are in no group and are not moved; the bits are a bounded table, as sent to the tasks.
+    named = named.withColumn("__slot", F.pmod(F.xxhash64("__name"), F.lit(SLOTS)))
+    bit = F.expr("shiftleft(1L, cast(__slot % 64 as int))")
+    bits = found.withColumn("__slot", F.pmod(F.xxhash64("__name"), F.lit(SLOTS))).groupBy(F.expr("__slot div 64").alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    marked = named.withColumn("__word", F.expr("__slot div 64")).join(F.broadcast(bits), "__word", "left")
+    marked = marked.withColumn("__maybe", F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False)))
+    maybe = marked.where("__maybe").select(*docs.columns, "__name")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("row"))
-    grouped_rows = named.join(found, "__name").withColumn("__order", order)
+    grouped_rows = maybe.join(found, "__name").withColumn("__order", order)
     first = grouped_rows.groupBy("__group").agg(F.min("__order").alias("__first"))
     chosen = grouped_rows.join(first, "__group").where("__order = __first OR (__order.none AND __first.none AND __order.row = __first.row)")
-    alone = named.join(found.select("__name"), "__name", "left_anti")
-    return alone.select(*docs.columns).unionAll(chosen.select(*docs.columns).dropDuplicates())
+    alone = marked.where("NOT __maybe").select(*docs.columns).unionAll(
+        maybe.join(found.select("__name"), "__name", "left_anti").select(*docs.columns)
+    )
+    return alone.unionAll(chosen.select(*docs.columns).dropDuplicates())
