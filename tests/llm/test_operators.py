@@ -5,6 +5,7 @@ import math
 import random
 import re
 import tracemalloc
+import uuid
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, fingerprint, jaccard, lines, packing, ppm, quality, repeats, toxicity, warc
+from tidemark.llm import decontaminate, fingerprint, jaccard, lines, packing, ppm, quality, repeats, support, toxicity, warc
 from tidemark.llm.components import components
 from tidemark.llm.counting import pack, unpack
 from tidemark.llm.queries import QUERIES
@@ -97,6 +98,50 @@ def test_repeats_match_brute_force(docs):
     assert repeats.removed(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("range_bytes", [repeats.RANGE_BYTES, 2000])  # as many buckets as shuffle partitions, and more
+def test_repeats_store_texts_once_and_shuffle_none(spark, docs, monkeypatch, tmp_path, range_bytes):
+    monkeypatch.setattr(repeats, "RANGE_BYTES", range_bytes)
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(support, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    # The plan is there before it runs, and no join is small enough for a broadcast.
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = repeats.removed(docs)
+        columns = []
+
+        def walk(node):
+            if "Exchange" in node.nodeName():
+                columns.append([c.split("#")[0] for c in node.output().mkString(" ").split()])
+            for k in range(node.children().size()):
+                walk(node.children().apply(k))
+
+        walk(out._jdf.queryExecution().executedPlan())
+        assert columns and not [c for c in columns if "text" in c]
+        got = sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == sorted(brute_repeats([(r.text or "").encode() for r in docs.collect()]))
+    assert sum("text" in spark.read.parquet(str(p)).columns for p in tmp_path.iterdir()) == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tidemark_")]
+
+
+def test_phrases_of_a_document_are_its_own():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(97, 100 + 20 * (n % 2), n).astype(np.uint8) for n in (0, 1, 134, 135, 136, 0, 700, 2000, 5, 135, 0)]
+    offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    p = repeats.Phrases(np.concatenate(texts), offsets)
+    alone = [repeats.Phrases(t, np.array([0, len(t)])) for t in texts]
+    assert p.hashes.tolist() == [h for a in alone for h in a.hashes.tolist()]
+    assert p.starts.tolist() == [s + o for a, o in zip(alone, offsets) for s in a.starts.tolist()]
+    assert p.follows.tolist() == [f for a in alone for f in a.follows.tolist()]
+    assert p.since.tolist() == [s + o for a, o in zip(alone, offsets) for s in a.since.tolist()]
+    assert p.places.tolist() == [s + o for a, o in zip(alone, offsets) for s in a.places.tolist()]
+
+
 def test_winnowing_by_blocks_is_exact_and_small():
     rng = np.random.default_rng(3)
     reach = repeats.WINDOW + repeats.GRAM - 1
